@@ -156,3 +156,21 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(j)
     )
     return q.select(line.alias("value"))
+
+
+_MATERIALIZED: dict[tuple[str, str], tuple[str, object]] = {}
+
+
+def materialize(spark: SparkSession, sf_dir: str):
+    """Write the fixture's raw JSONL and run the medallion pipeline over it once per
+    session and scale, under the shared scratch folder. Returns (raw_path, Layers)."""
+    from strata.plans.pipeline import medallion
+    from strata.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MATERIALIZED:
+        root = scratch_path(spark, "fixture")
+        raw = f"{root}/raw"
+        raw_lines(spark, sf_dir).write.mode("overwrite").option("lineSep", "\n").text(raw)
+        _MATERIALIZED[key] = (raw, medallion(spark, raw, root))
+    return _MATERIALIZED[key]
