@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -27,9 +28,22 @@ def py_strip(c: str | Column) -> Column:
     return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
+# Values made only of these characters are title-cased exactly by initcap (words split on
+# spaces only, and a space is the only non-letter present).
+_SIMPLE_ALPHABET = string.ascii_letters + " "
+
+
 def title_case(c: str | Column) -> Column:
-    """``str.title()`` as one built-in expression: split into cased / uncased runs, then
-    upper-case the first character of each run and lower-case the rest."""
+    """``str.title()`` with built-in expressions. Plain ASCII words take ``initcap``
+    (whole-stage codegen); any other value is split into cased / uncased runs, and each
+    run gets its first character upper-cased and the rest lower-cased."""
+    c = _col(c)
+    simple = F.translate(c, _SIMPLE_ALPHABET, "") == F.lit("")
+    return F.when(simple, F.initcap(c)).otherwise(title_case_runs(c))
+
+
+def title_case_runs(c: str | Column) -> Column:
+    """The general form of :func:`title_case` (any Unicode text)."""
     runs = F.regexp_extract_all(_col(c), F.lit(TITLE_RUNS), 0)
     fixed = F.transform(
         runs,

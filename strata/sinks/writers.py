@@ -22,12 +22,15 @@ FORMATS = ("parquet", "csv", "json")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partitions: int | None = None,
-                mode: str = "overwrite") -> str:
+                mode: str = "overwrite", max_records_per_file: int | None = None) -> str:
     """Write one table. ``partitions`` fixes the number of output files (a round-robin
-    repartition); by default the upstream partitioning is kept."""
+    repartition); by default the upstream partitioning is kept. ``max_records_per_file``
+    bounds file size, which keeps later non-splittable reads (multi-line CSV) parallel."""
     if partitions:
         df = df.repartition(partitions)
     w = df.write.mode(mode)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if fmt == "parquet":
         w.parquet(path)
     elif fmt == "csv":

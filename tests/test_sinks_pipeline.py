@@ -56,3 +56,34 @@ def test_bronze_stream_equals_batch(spark):
     batch = spark.read.parquet(layers.bronze).drop("_ingestion_timestamp")
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_short_csv_row_pads_with_null(spark, tmp_path):
+    from strata.schemas import SILVER_SCHEMA
+    from strata.sources.files import read_silver_csv
+
+    header = ",".join(SILVER_SCHEMA.names)
+    (tmp_path / "s.csv").write_text(header + "\nmale,norway\n")
+    df = read_silver_csv(spark, str(tmp_path / "s.csv"))
+    r = df.first()
+    assert (r["Gender"], r["Country"], r["Occupation"]) == ("male", "norway", None)
+    assert C.drop_missing(C.drop_metadata(df)).count() == 0
+
+
+def test_silver_files_are_bounded(spark, tmp_path):
+    from strata.sinks.writers import write_table
+
+    out = write_table(spark.range(100).selectExpr("cast(id as string) as a"), str(tmp_path / "o"), "csv",
+                      partitions=1, max_records_per_file=30)
+    assert len([f for f in os.listdir(out) if f.startswith("part-")]) == 4
+
+
+def test_sql_face_decimal_option(spark):
+    from strata.plans import sql_face
+
+    df = spark.createDataFrame([("a", "yes"), ("a", "no"), ("b", "yes")], "Country string, IncreasingStress string")
+    df.createOrReplaceTempView("t_dec")
+    dec = spark.sql(sql_face.share_within_sql("t_dec", "Country", "IncreasingStress", decimal=True))
+    dbl = spark.sql(sql_face.share_within_sql("t_dec", "Country", "IncreasingStress"))
+    assert dict(dec.dtypes)["prop"].startswith("decimal") and dict(dbl.dtypes)["prop"] == "double"
+    assert [float(r["prop"]) for r in dec.collect()] == [r["prop"] for r in dbl.collect()]
