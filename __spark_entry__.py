@@ -293,7 +293,7 @@ _NO_PAIR = ", ".join(c for c in SURVEY_COLUMNS if c not in PAIR)
 
 
 def oracle_sql() -> dict[str, str]:
-    faces = ", ".join(f"('{q}', '{f}', 0)" for q in compare.QUESTIONS for f in ("sql", "rdd"))
+    faces = ", ".join(f"('{q}', '{f}', CAST(0 AS BIGINT))" for q in compare.QUESTIONS for f in ("sql", "rdd"))
     keep_pair_cols = ", ".join(
         f"CASE WHEN {PAIR[0]} = {PAIR[1]} THEN NULL ELSE {c} END AS {c}" if c in PAIR else c
         for c in SURVEY_COLUMNS
@@ -366,7 +366,7 @@ def oracle_sql() -> dict[str, str]:
         "share_within_group": _with(_SHARE_WITHIN),
         "share_within_group_sql": _with(_SHARE_WITHIN),
         "share_map_by_group": _with(
-            "SELECT Country, SUM(count) OVER (PARTITION BY Country) AS total, IncreasingStress, prop "
+            "SELECT Country, CAST(SUM(count) OVER (PARTITION BY Country) AS BIGINT) AS total, IncreasingStress, prop "
             f"FROM ({_SHARE_WITHIN}) b QUALIFY IncreasingStress IS NOT NULL"
         ),
         "share_global": _with(_SHARE_GLOBAL),
