@@ -87,3 +87,15 @@ def test_sql_face_decimal_option(spark):
     dbl = spark.sql(sql_face.share_within_sql("t_dec", "Country", "IncreasingStress"))
     assert dict(dec.dtypes)["prop"].startswith("decimal") and dict(dbl.dtypes)["prop"] == "double"
     assert [float(r["prop"]) for r in dec.collect()] == [r["prop"] for r in dbl.collect()]
+
+
+def test_command_line_jobs(spark, capsys):
+    from strata.__main__ import main
+
+    raw, _ = fixtures.materialize(spark, SF_SMALL)
+    root = scratch_path(spark, "cli")
+    assert main(["ingest", raw, root]) == 0
+    assert main(["clean", f"{root}/silver", f"{root}/gold", "--merge", "keep_pair"]) == 0
+    assert main(["serve", f"{root}/gold/parquet", "--faces", "dataframe,sql"]) == 0
+    out = capsys.readouterr().out
+    assert "cleaned rows:" in out and "=== question E" in out
