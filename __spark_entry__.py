@@ -39,7 +39,7 @@ from strata.sources.files import read_gold, read_silver_csv  # noqa: E402
 from strata.sources.jsonl import bronze, quarantine, read_lines  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-VIEW = "mental_health"
+VIEW = "survey_gold"
 SILVER_OUT = SURVEY_COLUMNS + ["_source", "_status"]
 
 
@@ -118,6 +118,20 @@ def _share_map(spark, sf):
     return m.select("Country", "total", F.explode("shares").alias("IncreasingStress", "prop"))
 
 
+def _gold_faces_row_counts(spark, sf):
+    """Rows and columns of Gold under each of the reference's three cleaning rule sets."""
+    silver = _silver(spark, sf)
+    parts = []
+    for face, rules in C.FACE_RULES.items():
+        g = C.clean(silver, **rules)
+        parts.append(g.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(face).alias("face"), "n_rows", F.lit(len(g.columns)).cast("bigint").alias("n_columns")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
+
+
 def _catalog_views(spark, sf):
     _gold(spark, sf).createOrReplaceTempView(VIEW)
     return spark.sql("SHOW TABLES").filter(F.col("isTemporary") & (F.col("tableName") == VIEW))
@@ -167,6 +181,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_row_counts": lambda s, d: C.clean_counts(_silver(s, d)),
         "silver_to_gold": lambda s, d: _gold(s, d),
         "silver_to_gold_pandas_rules": lambda s, d: C.clean(_silver(s, d), nulls="pandas", merge="whole_table"),
+        "gold_faces_row_counts": _gold_faces_row_counts,
         # sinks
         "gold_roundtrip_parquet": lambda s, d: read_gold(s, _layers(s, d).gold["parquet"], "parquet"),
         "gold_roundtrip_csv": lambda s, d: read_gold(s, _layers(s, d).gold["csv"], "csv"),
@@ -352,6 +367,12 @@ def oracle_sql() -> dict[str, str]:
             "SELECT " + ", ".join(f"{_t(c)} AS {c}" for c in SURVEY_COLUMNS)
             + f" FROM silver_csv WHERE {_complete(PANDAS_NULL_WORDS)}"
         ),
+        "gold_faces_row_counts": _with(
+            "SELECT 'rdd' AS face, (SELECT COUNT(*) FROM complete) AS n_rows, CAST(18 AS BIGINT) AS n_columns "
+            "UNION ALL SELECT 'spark_df', (SELECT COUNT(*) FROM complete), CAST(16 AS BIGINT) "
+            "UNION ALL SELECT 'pandas', (SELECT COUNT(*) FROM silver_csv WHERE "
+            + _complete(PANDAS_NULL_WORDS) + "), CAST(17 AS BIGINT)"
+        ),
         "gold_roundtrip_parquet": _with(f"SELECT {_GOLD} FROM gold"),
         "gold_roundtrip_csv": _with(f"SELECT {_GOLD} FROM gold"),
         "gold_roundtrip_json": _with(f"SELECT {_GOLD} FROM gold"),

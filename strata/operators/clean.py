@@ -157,6 +157,14 @@ def clean(
     return df
 
 
+# The three rule sets the reference's cleaning faces apply, by face name.
+FACE_RULES: dict[str, dict] = {
+    "rdd": {"nulls": "reference", "case": "title", "merge": "keep_pair"},
+    "spark_df": {"nulls": "reference", "case": "none", "merge": "null_on_mismatch"},
+    "pandas": {"nulls": "pandas", "case": "title", "merge": "whole_table"},
+}
+
+
 def clean_counts(silver: DataFrame, nulls: str | Iterable[str] = "reference") -> DataFrame:
     """Rows in, dropped and kept by the missing-value rule, in one pass."""
     keep = row_is_complete(silver, [c for c in SURVEY_COLUMNS if c in silver.columns], nulls)

@@ -26,7 +26,7 @@ QUESTIONS: dict[str, tuple[str, str]] = {
 FACES = ("dataframe", "sql", "rdd")
 
 
-def faces(spark: SparkSession, gold: DataFrame, view: str = "mental_health") -> dict[str, dict[str, Callable[[], DataFrame]]]:
+def faces(spark: SparkSession, gold: DataFrame, view: str = "survey_gold") -> dict[str, dict[str, Callable[[], DataFrame]]]:
     """question -> face -> a builder of that face's answer (same columns in every face)."""
     gold.createOrReplaceTempView(view)
     return {
@@ -70,7 +70,7 @@ def mismatches(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).unionAll(b.exceptAll(a)).agg(F.count(F.lit(1)).alias("mismatches"))
 
 
-def faces_agree(spark: SparkSession, gold: DataFrame, view: str = "mental_health") -> DataFrame:
+def faces_agree(spark: SparkSession, gold: DataFrame, view: str = "survey_gold") -> DataFrame:
     """One row per (question, face): mismatching rows against the DataFrame face (0 = agree)."""
     built = faces(spark, gold, view)
     parts = []
@@ -85,7 +85,7 @@ def faces_agree(spark: SparkSession, gold: DataFrame, view: str = "mental_health
     return reduce(DataFrame.unionAll, parts)
 
 
-def time_faces(spark: SparkSession, gold: DataFrame, view: str = "mental_health") -> list[dict]:
+def time_faces(spark: SparkSession, gold: DataFrame, view: str = "survey_gold") -> list[dict]:
     """Wall time of each (question, face), every face forced to completion with ``noop``."""
     out = []
     for question, by_face in faces(spark, gold, view).items():

@@ -43,6 +43,20 @@ def run_gold(spark: SparkSession, silver_path: str, out_root: str, formats=("par
     return write_gold(spark, gold, out_root, formats, partitions)
 
 
+def run_gold_faces(spark: SparkSession, silver_path: str, out_root: str,
+                   faces: dict[str, dict] | None = None, formats=("parquet", "csv", "json"),
+                   partitions: int | None = None) -> dict[str, dict[str, str]]:
+    """One Gold folder per rule set (``out_root/<face>/<format>``), by default the three
+    rule sets of the reference's cleaning faces."""
+    from strata.operators.clean import FACE_RULES
+
+    out_root = out_root.rstrip("/")
+    return {
+        face: run_gold(spark, silver_path, f"{out_root}/{face}", formats, partitions, **rules)
+        for face, rules in (faces or FACE_RULES).items()
+    }
+
+
 def medallion(spark: SparkSession, raw_path: str, root: str, formats=("parquet", "csv", "json"),
               partitions: int | None = None, **rules) -> Layers:
     """Run all three layers under ``root`` (a shared folder on a cluster)."""

@@ -17,7 +17,7 @@ def test_entry_smoke(spark):
     assert df.columns == ["factor", "category", "prop"] and len(got) == 15
 
 
-def test_keys_line_up():
+def test_keys_line_up():  # noqa: D103
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"output_sizes", "catalog_views", "sample_rows"}

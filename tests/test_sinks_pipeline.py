@@ -99,3 +99,12 @@ def test_command_line_jobs(spark, capsys):
     assert main(["serve", f"{root}/gold/parquet", "--faces", "dataframe,sql"]) == 0
     out = capsys.readouterr().out
     assert "cleaned rows:" in out and "=== question E" in out
+
+
+def test_gold_folder_per_face(spark):
+    _, layers = fixtures.materialize(spark, SF_SMALL)
+    root = scratch_path(spark, "faces")
+    out = pipeline.run_gold_faces(spark, layers.silver, root, formats=("parquet",))
+    assert set(out) == {"rdd", "spark_df", "pandas"}
+    cols = {face: spark.read.parquet(p["parquet"]).columns for face, p in out.items()}
+    assert len(cols["rdd"]) == 18 and cols["spark_df"] == GOLD_COLUMNS and len(cols["pandas"]) == 17
