@@ -207,6 +207,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _gold(s, d), "Occupation", "SelfEmployed", drop_null_key=True),
         "rate_by_group_missing_as_no": lambda s, d: S.rate_by_group(
             I.flatten(_bronze(s, d)), "Occupation", "SelfEmployed", missing_flag="as_no", drop_null_key=True),
+        "one_scan_top_category": lambda s, d: S.answer_all(_gold(s, d))["A"],
+        "one_scan_rate_by_factor": lambda s, d: S.answer_all(_gold(s, d))["A_rates"],
+        "one_scan_share_within": lambda s, d: S.answer_all(_gold(s, d))["B"],
+        "one_scan_share_global": lambda s, d: S.answer_all(_gold(s, d))["C"],
+        "one_scan_rate_by_group": lambda s, d: S.answer_all(_gold(s, d))["D"],
+        "one_scan_rate_by_group_two_filters": lambda s, d: S.answer_all(_gold(s, d))["E"],
         "share_percent_text": lambda s, d: S.with_percent_text(
             S.share_within(_gold(s, d), "Country", "IncreasingStress")).drop("prop"),
         "distinct_values": lambda s, d: S.distinct_values(_gold(s, d), "Occupation"),
@@ -401,6 +407,13 @@ def oracle_sql() -> dict[str, str]:
             f"COUNT(*) AS total_count, {_ratio(f"SUM({_flag('SelfEmployed')})", 'COUNT(*)')} AS prop "
             "FROM silver WHERE Occupation IS NOT NULL GROUP BY Occupation"
         ),
+        "one_scan_top_category": _with(_TOP),
+        "one_scan_rate_by_factor": _with(_rate_by_factor_sql()),
+        "one_scan_share_within": _with(_SHARE_WITHIN),
+        "one_scan_share_global": _with(_SHARE_GLOBAL),
+        "one_scan_rate_by_group": _with(_rate_by_group("Country", "MentalHealthHistory")),
+        "one_scan_rate_by_group_two_filters": _with(
+            _rate_by_group("Occupation", "SelfEmployed", extra="AND Occupation IS NOT NULL")),
         "share_percent_text": _with(
             "SELECT Country, IncreasingStress, count, printf('%.2f%%', prop * 100) AS pct "
             f"FROM ({_SHARE_WITHIN}) b"

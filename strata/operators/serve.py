@@ -160,3 +160,91 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     """A Bernoulli sample without replacement (per task, no shuffle)."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
+# --------------------------------------------------------------------------- one scan
+def answer_all(
+    df: DataFrame,
+    factors: Sequence[str] = FACTORS,
+    target: str = TARGET,
+    share_group: str = "Country",
+    rates: Sequence[tuple[str, str, bool]] = (("Country", "MentalHealthHistory", False),
+                                             ("Occupation", "SelfEmployed", True)),
+    positive: str = "yes",
+    materialize: bool = True,
+) -> dict[str, DataFrame]:
+    """Questions A-E from ONE scan of ``df``.
+
+    Each row is exploded into one entry per grouping - one per factor ``(factor, value)``,
+    ``(share_group, target)`` and ``(target)`` - and a single aggregate on the three-part
+    key ``(set, k1, k2)`` counts rows and positive answers of every flag column, with a
+    map-side partial aggregate before the only exchange. The aggregate holds one row per
+    category per set; it is checkpointed (reliable, in the shared checkpoint dir) when
+    ``materialize`` and every answer is then derived from it.
+
+    Returns ``{"A", "A_rates", "B", "C", "D", "E"}`` with the same columns and values as
+    ``top_category``, ``rate_by_factor``, ``share_within``, ``share_global`` and
+    ``rate_by_group`` (D and E by ``rates``)."""
+    present = [f for f in factors if f in df.columns]
+    sets: list[tuple[str, str, str | None]] = [(f, f, None) for f in present]
+    sets += [("__within", share_group, target), ("__global", target, None)]
+    for key, _, _ in rates:
+        if key not in present:
+            sets.append((key, key, None))
+    flags: list[str] = []
+    for fl in [target, *[r[1] for r in rates]]:
+        if fl not in flags:
+            flags.append(fl)
+
+    def entry(name, k1, k2):
+        return F.struct(
+            F.lit(name).alias("_set"),
+            F.col(k1).cast("string").alias("_k1"),
+            (F.col(k2).cast("string") if k2 else F.lit(None).cast("string")).alias("_k2"),
+        )
+
+    flag_cols = []
+    for i, fl in enumerate(flags):
+        flag_cols += [flag(fl, positive).alias(f"_f{i}"), F.col(fl).isNotNull().cast("int").alias(f"_p{i}")]
+    long = df.select(*flag_cols, F.explode(F.array(*[entry(*s) for s in sets])).alias("_e")).select(
+        "_e._set", "_e._k1", "_e._k2", *[c for i in range(len(flags)) for c in (f"_f{i}", f"_p{i}")]
+    )
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i in range(len(flags)):
+        aggs += [F.sum(f"_f{i}").cast("bigint").alias(f"_yes{i}"), F.sum(f"_p{i}").cast("bigint").alias(f"_n{i}")]
+    g = long.groupBy("_set", "_k1", "_k2").agg(*aggs)
+    if materialize:
+        from strata.session import scratch_root
+
+        scratch_root(df.sparkSession)  # make sure a (shared) checkpoint dir is set
+        g = g.checkpoint(eager=True)
+    t = flags.index(target)
+
+    def rows_of(name):
+        return g.filter(F.col("_set") == F.lit(name))
+
+    a_rates = g.filter(F.col("_set").isin(present) & F.col("_k1").isNotNull()).select(
+        F.col("_set").alias("factor"), F.col("_k1").alias("category"), F.col("n"),
+        F.col(f"_yes{t}").alias("yes_count"),
+    ).withColumn("prop", _ratio("yes_count", "n"))
+    w = Window.partitionBy("factor").orderBy(F.desc("prop"), F.asc("category"))
+    a_top = a_rates.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1).select(
+        "factor", "category", "prop")
+
+    b = rows_of("__within").select(F.col("_k1").alias(share_group), F.col("_k2").alias(target),
+                                   F.col("n").alias("count"))
+    b = b.withColumn("prop", F.col("count").cast("double")
+                     / F.sum("count").over(Window.partitionBy(share_group)).cast("double"))
+    c = rows_of("__global").select(F.col("_k1").alias(target), F.col("n").alias("count"))
+    c = c.withColumn("prop", F.col("count").cast("double") / c.agg(F.sum("count")).scalar().cast("double"))
+
+    out = {"A": a_top, "A_rates": a_rates, "B": b, "C": c}
+    for name, (key, fl, drop_null_key) in zip(("D", "E"), rates):
+        i = flags.index(fl)
+        r = rows_of(key)
+        if drop_null_key:
+            r = r.filter(F.col("_k1").isNotNull())
+        out[name] = r.filter(F.col(f"_n{i}") > 0).select(
+            F.col("_k1").alias(key), F.col(f"_yes{i}").alias("yes_count"), F.col(f"_n{i}").alias("total_count")
+        ).withColumn("prop", _ratio("yes_count", "total_count"))
+    return out

@@ -60,3 +60,11 @@ def test_cleaning_filter_is_one_predicate(spark, layers):
     df = C.drop_missing(C.drop_metadata(read_silver_csv(spark, layers[1].silver)))
     plan = _plan(df)
     assert plan.count(" Filter ") == 1
+
+
+def test_answer_all_reads_gold_once(gold):
+    from strata.operators.serve import answer_all
+
+    a = answer_all(gold, materialize=False)["A_rates"]
+    plan = _plan(a)
+    assert plan.count("FileScan parquet") == 1 and "partial_count" in plan

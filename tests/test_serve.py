@@ -79,3 +79,19 @@ def test_percent_text_distinct_sample(spark):
     big = spark.range(10000)
     n = S.sample_rows(big, 0.1, seed=42).count()
     assert 800 < n < 1200
+
+
+def test_answer_all_equals_separate_answers(spark):
+    df = _df(spark, DATA + [("no", "b", "no", "maybe", "MAYBE"), ("se", "a", None, "yes", "yes")])
+    factors = ["Country", "Occupation", "SelfEmployed"]
+    got = S.answer_all(df, factors=factors)
+    want = {
+        "A": S.top_category(df, factors),
+        "A_rates": S.rate_by_factor(df, factors),
+        "B": S.share_within(df, "Country", "IncreasingStress", sort=False),
+        "C": S.share_global(df, "IncreasingStress"),
+        "D": S.rate_by_group(df, "Country", "MentalHealthHistory"),
+        "E": S.rate_by_group(df, "Occupation", "SelfEmployed", drop_null_key=True),
+    }
+    for k, w in want.items():
+        assert rows(got[k].select(*w.columns)) == rows(w), k
