@@ -124,21 +124,15 @@ def questionnaire(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _record_json() -> F.Column:
+    """The three nested groups of a row as JSON text (Spark leaves null fields out)."""
+    names = iter(SURVEY_COLUMNS)
     groups = [
-        F.struct(*[F.col(SURVEY_COLUMNS[i]).alias(f) for i, f in idx]).alias(g)
-        for g, idx in _group_index().items()
+        F.struct(*[F.col(next(names)).alias(f) for f in fields]).alias(g)
+        for g, fields in RAW_GROUPS.items()
     ]
     return F.to_json(F.struct(*groups))
 
 
-def _group_index() -> dict[str, list[tuple[int, str]]]:
-    out, i = {}, 0
-    for g, fields in RAW_GROUPS.items():
-        out[g] = [(i + k, f) for k, f in enumerate(fields)]
-        i += len(fields)
-    return out
-
-
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``DataFrame[value: string]``: one raw JSON line per questionnaire row, with dirt."""
     q = questionnaire(spark, sf_dir)
