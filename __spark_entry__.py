@@ -23,7 +23,7 @@ from strata.functions.text import TITLE_RUNS, py_strip  # noqa: E402
 from strata.operators import clean as C  # noqa: E402
 from strata.operators import ingest as I  # noqa: E402
 from strata.operators import serve as S  # noqa: E402
-from strata.plans import compare, sql_face  # noqa: E402
+from strata.plans import compare, rdd_face, sql_face  # noqa: E402
 from strata.schemas import (  # noqa: E402
     FACTORS,
     GOLD_COLUMNS,
@@ -213,6 +213,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "one_scan_share_global": lambda s, d: S.answer_all(_gold(s, d))["C"],
         "one_scan_rate_by_group": lambda s, d: S.answer_all(_gold(s, d))["D"],
         "one_scan_rate_by_group_two_filters": lambda s, d: S.answer_all(_gold(s, d))["E"],
+        "rate_by_factor_category_sql": lambda s, d: _sql(s, d, sql_face.rate_by_factor_sql(VIEW)),
+        "top_category_one_factor_sql": lambda s, d: _sql(
+            s, d, sql_face.top_category_one_factor_sql(VIEW, "Country")),
+        "rate_by_group_two_filters_sql": lambda s, d: _sql(
+            s, d, sql_face.rate_by_group_sql(VIEW, "Occupation", "SelfEmployed", drop_null_key=True)),
+        "top_category_per_factor_rdd": lambda s, d: rdd_face.top_category_rdd(s, _gold(s, d)),
+        "share_within_group_rdd": lambda s, d: rdd_face.share_within_rdd(
+            s, _gold(s, d), "Country", "IncreasingStress"),
+        "share_global_rdd": lambda s, d: rdd_face.share_global_rdd(s, _gold(s, d), "IncreasingStress"),
+        "rate_by_group_rdd": lambda s, d: rdd_face.rate_by_group_rdd(
+            s, _gold(s, d), "Country", "MentalHealthHistory"),
+        "rate_by_group_two_filters_rdd": lambda s, d: rdd_face.rate_by_group_rdd(
+            s, _gold(s, d), "Occupation", "SelfEmployed", drop_null_key=True),
         "share_percent_text": lambda s, d: S.with_percent_text(
             S.share_within(_gold(s, d), "Country", "IncreasingStress")).drop("prop"),
         "distinct_values": lambda s, d: S.distinct_values(_gold(s, d), "Occupation"),
@@ -414,6 +427,20 @@ def oracle_sql() -> dict[str, str]:
         "one_scan_rate_by_group": _with(_rate_by_group("Country", "MentalHealthHistory")),
         "one_scan_rate_by_group_two_filters": _with(
             _rate_by_group("Occupation", "SelfEmployed", extra="AND Occupation IS NOT NULL")),
+        "rate_by_factor_category_sql": _with(_rate_by_factor_sql()),
+        "top_category_one_factor_sql": _with(
+            "SELECT 'Country' AS factor, Country AS category, AVG(" + _flag("IncreasingStress")
+            + ") AS prop FROM gold WHERE Country IS NOT NULL GROUP BY Country "
+            "ORDER BY prop DESC, category ASC LIMIT 1"
+        ),
+        "rate_by_group_two_filters_sql": _with(
+            _rate_by_group("Occupation", "SelfEmployed", extra="AND Occupation IS NOT NULL")),
+        "top_category_per_factor_rdd": _with(_TOP),
+        "share_within_group_rdd": _with(_SHARE_WITHIN),
+        "share_global_rdd": _with(_SHARE_GLOBAL),
+        "rate_by_group_rdd": _with(_rate_by_group("Country", "MentalHealthHistory")),
+        "rate_by_group_two_filters_rdd": _with(
+            _rate_by_group("Occupation", "SelfEmployed", extra="AND Occupation IS NOT NULL")),
         "share_percent_text": _with(
             "SELECT Country, IncreasingStress, count, printf('%.2f%%', prop * 100) AS pct "
             f"FROM ({_SHARE_WITHIN}) b"

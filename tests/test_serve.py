@@ -95,3 +95,21 @@ def test_answer_all_equals_separate_answers(spark):
     }
     for k, w in want.items():
         assert rows(got[k].select(*w.columns)) == rows(w), k
+
+
+def test_hot_key_third_of_rows(spark):
+    """One country holds over a third of the rows: answers stay exact and the plan
+    aggregates map-side before the exchange."""
+    hot = spark.range(30000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', CAST(id % 500 AS STRING)) END AS Country",
+        "CASE WHEN id % 4 = 0 THEN 'yes' ELSE 'no' END AS MentalHealthHistory",
+        "CASE WHEN id % 7 = 0 THEN 'yes' ELSE 'no' END AS IncreasingStress",
+        "'x' AS Occupation", "'no' AS SelfEmployed",
+    )
+    d = S.rate_by_group(hot, "Country", "MentalHealthHistory")
+    r = d.filter(F.col("Country") == "hot").first()
+    assert (r["yes_count"], r["total_count"]) == (2500, 10000)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_sum") > plan.index("Exchange")  # partial aggregate sits below the exchange
+    b = S.answer_all(hot, factors=["Country"])["B"].filter(F.col("Country") == "hot")
+    assert {x["IncreasingStress"]: x["count"] for x in b.collect()} == {"yes": 1429, "no": 8571}
