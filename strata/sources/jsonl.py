@@ -11,6 +11,10 @@ gets a status:
 Spark's JSON reader is lenient: it stops after the first value and takes single quotes.
 Strictness comes from parsing the line inside ``{"r":[ ... ]}`` with single quotes off -
 any text after the value breaks the wrapper, and two values give an array of size two.
+A line can close that wrapper early only if it holds ``]`` then ``}`` (with optional
+whitespace between); such lines are also parsed inside ``[[ ... ]]``, and no text can
+escape both wrappers, since right after a complete value the first needs ``]}`` and the
+second ``]]``.
 The payload parse uses the declared schema with a corrupt-record column, which is set
 when the line is not an object or a group has the wrong type. Two built-in parses per
 line, no Python.
@@ -36,6 +40,7 @@ _CORRUPT = "_corrupt"
 _STRICT = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
 _PAYLOAD_SCHEMA = T.StructType(list(RAW_SCHEMA.fields) + [T.StructField(_CORRUPT, T.StringType())])
 _WRAP_SCHEMA = T.StructType([T.StructField("r", T.ArrayType(T.StringType()))])
+_WRAP2_SCHEMA = T.ArrayType(T.ArrayType(T.StringType()))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -48,7 +53,11 @@ def is_single_json(line: str | Column) -> Column:
     """True when the text is exactly one JSON value (strict, like ``json.loads``)."""
     line = F.col(line) if isinstance(line, str) else line
     wrapped = F.from_json(F.concat(F.lit('{"r":['), line, F.lit("]}")), _WRAP_SCHEMA, _STRICT)
-    return F.coalesce(F.size(wrapped["r"]) == F.lit(1), F.lit(False))
+    first = F.coalesce(F.size(wrapped["r"]) == F.lit(1), F.lit(False))
+    nested = F.from_json(F.concat(F.lit("[["), line, F.lit("]]")), _WRAP2_SCHEMA, _STRICT)
+    second = F.coalesce((F.size(nested) == F.lit(1)) & (F.size(nested[0]) == F.lit(1)), F.lit(False))
+    may_escape = line.rlike(r"\]\s*\}")
+    return first & F.when(may_escape, second).otherwise(F.lit(True))
 
 
 def ingestion_time() -> Column:

@@ -1,6 +1,8 @@
 import json
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from strata.schemas import BRONZE_SCHEMA, PARSE_ERROR, SCHEMA_ERROR, VALID
 from strata.sources.jsonl import bronze, quarantine, read_lines
@@ -33,6 +35,11 @@ CASES = [
     ('{"person":[1]}', SCHEMA_ERROR),
     ('{"person":{"gender":"x"}, "status": 5}', SCHEMA_ERROR),
     ('[{"person":{}}]', SCHEMA_ERROR),
+    ("null]}", PARSE_ERROR),            # would close a {"r":[...]} wrapper early
+    ('"a"] }{"b":1}', PARSE_ERROR),
+    ("1]]", PARSE_ERROR),
+    ('{"a":[1]}', VALID),
+    ('{"person":{"gender":"x"},"a":[[1], {"b":[]} ]}', VALID),
 ]
 
 
@@ -92,3 +99,16 @@ def test_read_lines_keeps_cr_inside(spark, tmp_path):
 def test_quarantine(spark):
     q = quarantine(_bronze_of(spark, ['{"a":', "5", "{}"])).collect()
     assert sorted((r["_status"], r["_raw_data"]) for r in q) == [(PARSE_ERROR, '{"a":'), (SCHEMA_ERROR, "5")]
+
+
+_TOKENS = ['{', '}', '[', ']', '"a"', '"person"', ':', ',', '1', '01', '-0', '1.', '.5', '1e5', 'true',
+           'null', 'NaN', ' ', '\t', '"\\q"', "'s'", '{"gender":"m"}', '+1', '/*c*/', 'nul']
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(_TOKENS), min_size=1, max_size=8).map("".join),
+                min_size=20, max_size=60))
+def test_status_matches_python_on_token_soup(spark, lines):
+    lines = [x for x in lines if x.strip()]
+    got = _bronze_of(spark, lines).select("_status").collect()
+    assert [r[0] for r in got] == [_python_status(x.strip()) for x in lines]
