@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 # Python's str.strip() set: every code point whose str.isspace() is true (built by rule).
 WHITESPACE: str = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
 
-# Runs of cased letters and runs of everything else. Python's str.title() upper-cases the
-# first character of each cased run and lower-cases the rest of it.
-_CASED = r"\p{Lu}\p{Ll}\p{Lt}"
+# Runs of cased characters and runs of everything else. Python's str.title() gives the
+# first character of each cased run its titlecase form and lower-cases the rest. "Cased"
+# is Unicode's derived property (Uppercase, Lowercase or Titlecase), which also covers
+# modifier letters and Roman numerals, in Java regex syntax.
+_CASED = r"\p{IsUppercase}\p{IsLowercase}\p{IsTitlecase}"
 TITLE_RUNS = f"([{_CASED}]+|[^{_CASED}]+)"
 
 _MAX_LEN = 2**31 - 1
@@ -45,13 +47,38 @@ def title_case(c: str | Column) -> Column:
 def title_case_runs(c: str | Column) -> Column:
     """The general form of :func:`title_case` (any Unicode text)."""
     runs = F.regexp_extract_all(_col(c), F.lit(TITLE_RUNS), 0)
-    fixed = F.transform(
-        runs,
-        lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, _MAX_LEN))),
-    )
+    fixed = F.transform(runs, _title_run)
     return F.array_join(fixed, "")
 
 
+def _title_run(r: Column) -> Column:
+    """First character in titlecase, the rest lower-cased in the context of the whole run
+    (so a closing capital sigma becomes the final form)."""
+    first = F.substring(r, 1, 1)
+    low = F.lower(r)
+    rest = F.substring(low, F.length(F.lower(first)) + F.lit(1), F.lit(_MAX_LEN))
+    return F.concat(_title_char(first), rest)
+
+
+def _title_char(ch: Column) -> Column:
+    """Titlecase form of one character, as Python's str.title() gives it.
+
+    * One-character upper case: ``initcap`` maps it (the digraph dz becomes Dz, not DZ),
+      unless that grows the text (dotted capital I), then the upper case is kept.
+    * Several-character upper case (sharp s, ligatures, n with apostrophe): a
+      single-character titlecase form wins when one exists (Greek with iota subscript);
+      otherwise the upper case is kept up to its first cased character and the rest is
+      lower-cased (sharp s -> Ss, n with apostrophe -> 'N)."""
+    ic, up = F.initcap(ch), F.upper(ch)
+    head = F.regexp_extract(up, f"^[^{_CASED}]*[{_CASED}]?", 0)
+    multi = F.concat(head, F.lower(F.substring(up, F.length(head) + F.lit(1), F.lit(_MAX_LEN))))
+    return (
+        F.when(F.length(up) == F.lit(1), F.when(F.length(ic) == F.lit(1), ic).otherwise(up))
+        .when(F.lower(ic) != ic, ic)
+        .otherwise(multi)
+    )
+
+
 def capitalize_first(c: str | Column) -> Column:
     """Upper-case the first character and leave the rest as it is."""
     c = _col(c)

@@ -57,3 +57,15 @@ def test_text_formats(spark):
     df = spark.createDataFrame([(0.25,), (1.0,), (0.0,), (1 / 3,)], "p double")
     got = [tuple(r) for r in df.select(percent_text("p"), fixed_text("p")).collect()]
     assert got == [("25.00%", "0.25"), ("100.00%", "1.00"), ("0.00%", "0.00"), ("33.33%", "0.33")]
+
+
+# Letters, digraphs, ligatures, Greek with iota subscript, final sigma, modifier letters,
+# Roman numerals, combining marks, CJK, digits and punctuation. (U+019B is left out: its
+# upper case exists only in newer Unicode tables than Python's.)
+_UNICODE = ("abcXYZ éÜßǄǅǆǱǳﬁﬂŉǰᾳᾼΣσςΑΒγδʰʲªºⅰⅠİıſ̅̀丕ぞ١²_-'’.,0123456789 ")
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(alphabet=_UNICODE, min_size=1, max_size=10), min_size=5, max_size=30))
+def test_title_case_unicode_property(spark, values):
+    assert _one(spark, values, title_case) == [v.title() for v in values]
