@@ -63,6 +63,7 @@ def _title_run(r: Column) -> Column:
 def _title_char(ch: Column) -> Column:
     """Titlecase form of one character, as Python's str.title() gives it.
 
+    * ASCII: the upper case.
     * One-character upper case: ``initcap`` maps it (the digraph dz becomes Dz, not DZ),
       unless that grows the text (dotted capital I), then the upper case is kept.
     * Several-character upper case (sharp s, ligatures, n with apostrophe): a
@@ -73,7 +74,8 @@ def _title_char(ch: Column) -> Column:
     head = F.regexp_extract(up, f"^[^{_CASED}]*[{_CASED}]?", 0)
     multi = F.concat(head, F.lower(F.substring(up, F.length(head) + F.lit(1), F.lit(_MAX_LEN))))
     return (
-        F.when(F.length(up) == F.lit(1), F.when(F.length(ic) == F.lit(1), ic).otherwise(up))
+        F.when(F.ascii(ch) < F.lit(128), up)
+        .when(F.length(up) == F.lit(1), F.when(F.length(ic) == F.lit(1), ic).otherwise(up))
         .when(F.lower(ic) != ic, ic)
         .otherwise(multi)
     )
