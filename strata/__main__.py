@@ -32,7 +32,7 @@ def cmd_ingest(args) -> None:
     root = args.root.rstrip("/")
     t0 = time.perf_counter()
     b = pipeline.run_bronze(spark, args.raw, f"{root}/bronze")
-    s = pipeline.run_silver(spark, b, f"{root}/silver")
+    s = pipeline.run_silver(spark, b, f"{root}/silver", fmt=args.silver_format)
     bronze_df = spark.read.parquet(b)
     I.status_counts(bronze_df).show(truncate=False)
     I.shape(I.flatten(bronze_df)).show()
@@ -44,7 +44,7 @@ def cmd_clean(args) -> None:
     t0 = time.perf_counter()
     paths = pipeline.run_gold(
         spark, args.silver, args.gold_root, partitions=args.partitions,
-        nulls=args.nulls, case=args.case, merge=args.merge, dedup_rows=args.dedup,
+        silver_format=args.silver_format, nulls=args.nulls, case=args.case, merge=args.merge, dedup_rows=args.dedup,
     )
     seconds = round(time.perf_counter() - t0, 3)
     gold = spark.read.parquet(paths["parquet"])
@@ -74,10 +74,12 @@ def main(argv=None) -> int:
     a = sub.add_parser("ingest")
     a.add_argument("raw")
     a.add_argument("root")
+    a.add_argument("--silver-format", default="csv", choices=["csv", "parquet"])
     a.set_defaults(fn=cmd_ingest)
     c = sub.add_parser("clean")
     c.add_argument("silver")
     c.add_argument("gold_root")
+    c.add_argument("--silver-format", default="csv", choices=["csv", "parquet"])
     c.add_argument("--nulls", default="reference", choices=["reference", "pandas", "none"])
     c.add_argument("--case", default="title", choices=["title", "first", "none"])
     c.add_argument("--merge", default="null_on_mismatch",

@@ -1,6 +1,7 @@
-"""The medallion pipeline end to end: raw JSONL -> Bronze (Parquet) -> Silver (CSV) ->
-Gold (Parquet, CSV, JSON). Every layer is written, so each step starts from files: the
-lineage is cut between layers and a lost executor never recomputes earlier layers."""
+"""The medallion pipeline end to end: raw JSONL -> Bronze (Parquet) -> Silver (CSV, or
+Parquet) -> Gold (Parquet, CSV, JSON). Every layer is written, so each step starts from
+files: the lineage is cut between layers and a lost executor never recomputes earlier
+layers."""
 
 from __future__ import annotations
 
@@ -20,6 +21,7 @@ class Layers:
     bronze: str
     silver: str
     gold: dict[str, str] = field(default_factory=dict)
+    silver_format: str = "csv"
 
 
 def run_bronze(spark: SparkSession, raw_path: str, out: str) -> str:
@@ -32,14 +34,20 @@ SILVER_ROWS_PER_FILE = 1_000_000
 
 
 def run_silver(spark: SparkSession, bronze_path: str, out: str,
-               rows_per_file: int = SILVER_ROWS_PER_FILE) -> str:
-    return write_table(flatten(spark.read.parquet(bronze_path)), out, "csv",
-                       max_records_per_file=rows_per_file)
+               rows_per_file: int = SILVER_ROWS_PER_FILE, fmt: str = "csv") -> str:
+    """Flatten Bronze into Silver. ``csv`` is the reference layout; ``parquet`` keeps the
+    same columns and values, splits freely and lets later scans prune columns."""
+    rows = flatten(spark.read.parquet(bronze_path))
+    return write_table(rows, out, fmt, max_records_per_file=rows_per_file if fmt == "csv" else None)
+
+
+def read_silver(spark: SparkSession, silver_path: str, fmt: str = "csv") -> DataFrame:
+    return read_silver_csv(spark, silver_path) if fmt == "csv" else spark.read.parquet(silver_path)
 
 
 def run_gold(spark: SparkSession, silver_path: str, out_root: str, formats=("parquet", "csv", "json"),
-             partitions: int | None = None, **rules) -> dict[str, str]:
-    gold = clean(read_silver_csv(spark, silver_path), **rules)
+             partitions: int | None = None, silver_format: str = "csv", **rules) -> dict[str, str]:
+    gold = clean(read_silver(spark, silver_path, silver_format), **rules)
     return write_gold(spark, gold, out_root, formats, partitions)
 
 
@@ -58,13 +66,13 @@ def run_gold_faces(spark: SparkSession, silver_path: str, out_root: str,
 
 
 def medallion(spark: SparkSession, raw_path: str, root: str, formats=("parquet", "csv", "json"),
-              partitions: int | None = None, **rules) -> Layers:
+              partitions: int | None = None, silver_format: str = "csv", **rules) -> Layers:
     """Run all three layers under ``root`` (a shared folder on a cluster)."""
     root = root.rstrip("/")
     b = run_bronze(spark, raw_path, f"{root}/bronze")
-    s = run_silver(spark, b, f"{root}/silver")
-    g = run_gold(spark, s, f"{root}/gold", formats, partitions, **rules)
-    return Layers(b, s, g)
+    s = run_silver(spark, b, f"{root}/silver", fmt=silver_format)
+    g = run_gold(spark, s, f"{root}/gold", formats, partitions, silver_format=silver_format, **rules)
+    return Layers(b, s, g, silver_format)
 
 
 def gold_frame(spark: SparkSession, layers: Layers) -> DataFrame:
