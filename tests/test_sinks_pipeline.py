@@ -97,6 +97,7 @@ def test_command_line_jobs(spark, capsys):
     assert main(["ingest", raw, root]) == 0
     assert main(["clean", f"{root}/silver", f"{root}/gold", "--merge", "keep_pair"]) == 0
     assert main(["serve", f"{root}/gold/parquet", "--faces", "dataframe,sql"]) == 0
+    assert main(["serve", f"{root}/gold/parquet", "--one-scan"]) == 0
     out = capsys.readouterr().out
     assert "cleaned rows:" in out and "=== question E" in out
 
