@@ -8,6 +8,7 @@ executor re-reads files instead of recomputing the whole lineage.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,9 +52,13 @@ def write_gold(spark: SparkSession, df: DataFrame, root: str, formats: Sequence[
     if "parquet" in formats:
         paths["parquet"] = pq
     written = spark.read.parquet(pq)
-    for fmt in formats:
-        if fmt != "parquet":
-            paths[fmt] = write_table(written, f"{root}/{fmt}", fmt)
+    others = [fmt for fmt in formats if fmt != "parquet"]
+    # The other formats only read the written Parquet and are independent: submit them as
+    # concurrent jobs so one job's last tasks do not leave the cluster idle.
+    with ThreadPoolExecutor(max_workers=max(1, len(others))) as pool:
+        done = {fmt: pool.submit(write_table, written, f"{root}/{fmt}", fmt) for fmt in others}
+        for fmt in others:
+            paths[fmt] = done[fmt].result()
     return paths
 
 
