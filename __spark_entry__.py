@@ -229,6 +229,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "share_percent_text": lambda s, d: S.with_percent_text(
             S.share_within(_gold(s, d), "Country", "IncreasingStress")).drop("prop"),
         "distinct_values": lambda s, d: S.distinct_values(_gold(s, d), "Occupation"),
+        "report_top_category": lambda s, d: S.report_top(S.top_category(_gold(s, d))),
+        "report_share_global": lambda s, d: S.report_counts(
+            S.share_global(_gold(s, d), "IncreasingStress"), "IncreasingStress"),
+        "report_rate_by_group": lambda s, d: S.report_rates(
+            S.rate_by_group(_gold(s, d), "Country", "MentalHealthHistory"), "Country"),
+        "report_rate_by_group_two_filters": lambda s, d: S.report_rates(
+            S.rate_by_group(_gold(s, d), "Occupation", "SelfEmployed", drop_null_key=True), "Occupation"),
         "faces_agree": lambda s, d: compare.faces_agree(s, _gold(s, d), VIEW),
     }
 
@@ -451,5 +458,18 @@ def oracle_sql() -> dict[str, str]:
             f"FROM ({_SHARE_WITHIN}) b"
         ),
         "distinct_values": _with("SELECT DISTINCT Occupation FROM gold"),
+        "report_top_category": _with(
+            f"SELECT factor || ': ' || chr(39) || category || chr(39) || ' → ' || printf('%.2f', prop) AS line "
+            f"FROM ({_TOP}) t"),
+        "report_share_global": _with(
+            "SELECT IncreasingStress || ': ' || CAST(count AS VARCHAR) || ' (' || printf('%.2f%%', prop * 100) "
+            f"|| ')' AS line FROM ({_SHARE_GLOBAL}) t"),
+        "report_rate_by_group": _with(
+            "SELECT Country || ': ' || CAST(yes_count AS VARCHAR) || '/' || CAST(total_count AS VARCHAR) || ' (' "
+            f"|| printf('%.2f%%', prop * 100) || ')' AS line FROM ({_rate_by_group('Country', 'MentalHealthHistory')}) t"),
+        "report_rate_by_group_two_filters": _with(
+            "SELECT Occupation || ': ' || CAST(yes_count AS VARCHAR) || '/' || CAST(total_count AS VARCHAR) || ' (' "
+            "|| printf('%.2f%%', prop * 100) || ')' AS line FROM ("
+            + _rate_by_group("Occupation", "SelfEmployed", extra="AND Occupation IS NOT NULL") + ") t"),
         "faces_agree": f"SELECT * FROM (VALUES {faces}) AS t(question, face, mismatches)",
     }

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.text import flag, percent_text
+from strata.functions.text import fixed_text, flag, percent_text
 from strata.schemas import FACTORS, TARGET
 
 
@@ -152,6 +152,25 @@ def with_percent_text(df: DataFrame, prop_col: str = "prop", name: str = "pct")
     return df.withColumn(name, percent_text(prop_col))
 
 
+def report_top(top: DataFrame) -> DataFrame:
+    """Question A as text lines: ``factor: 'category' → 0.43``."""
+    return top.select(F.concat(F.col("factor"), F.lit(": '"), F.col("category"), F.lit("' → "),
+                               fixed_text("prop")).alias("line"))
+
+
+def report_counts(shares: DataFrame, value: str) -> DataFrame:
+    """Question C as text lines: ``value: count (share%)``."""
+    return shares.select(F.concat(F.col(value), F.lit(": "), F.col("count").cast("string"), F.lit(" ("),
+                                  percent_text("prop"), F.lit(")")).alias("line"))
+
+
+def report_rates(rates: DataFrame, key: str) -> DataFrame:
+    """Questions D and E as text lines: ``key: yes/total (rate%)``."""
+    return rates.select(F.concat(F.col(key), F.lit(": "), F.col("yes_count").cast("string"), F.lit("/"),
+                                 F.col("total_count").cast("string"), F.lit(" ("), percent_text("prop"),
+                                 F.lit(")")).alias("line"))
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """The distinct values of one column (partial distinct per task, then one exchange)."""
     return df.select(column).distinct()

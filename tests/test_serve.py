@@ -113,3 +113,13 @@ def test_hot_key_third_of_rows(spark):
     assert plan.index("partial_sum") > plan.index("Exchange")  # partial aggregate sits below the exchange
     b = S.answer_all(hot, factors=["Country"])["B"].filter(F.col("Country") == "hot")
     assert {x["IncreasingStress"]: x["count"] for x in b.collect()} == {"yes": 1429, "no": 8571}
+
+
+def test_text_reports(spark):
+    df = _df(spark, DATA)
+    top = rows(S.report_top(S.top_category(df, ["Country"])))
+    assert top == [("Country: 'no' → 0.67",)]
+    c = rows(S.report_counts(S.share_global(df, "IncreasingStress", drop_null=True), "IncreasingStress"))
+    assert c == [("no: 2 (40.00%)",), ("yes: 3 (60.00%)",)]
+    d = rows(S.report_rates(S.rate_by_group(df, "Country", "MentalHealthHistory", drop_null_key=True), "Country"))
+    assert d == [("no: 1/2 (50.00%)",), ("se: 1/2 (50.00%)",)]
