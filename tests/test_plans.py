@@ -1,5 +1,8 @@
 """Plan properties that matter at scale, checked on the physical plans."""
 
+import contextlib
+import io
+
 import pytest
 
 from conftest import SF_SMALL
@@ -11,9 +14,13 @@ from strata.sources.jsonl import bronze, read_lines
 
 
 def _plan(df, final=False):
+    """The physical plan as ``explain()`` prints it (after a run, the final adaptive plan)."""
     if final:
-        df.collect()  # the adaptive plan of this QueryExecution becomes final
-    return df._jdf.queryExecution().executedPlan().toString()
+        df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 @pytest.fixture(scope="module")

@@ -109,7 +109,13 @@ def test_hot_key_third_of_rows(spark):
     d = S.rate_by_group(hot, "Country", "MentalHealthHistory")
     r = d.filter(F.col("Country") == "hot").first()
     assert (r["yes_count"], r["total_count"]) == (2500, 10000)
-    plan = d._jdf.queryExecution().executedPlan().toString()
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        d.explain()
+    plan = buf.getvalue()
     assert plan.index("partial_sum") > plan.index("Exchange")  # partial aggregate sits below the exchange
     b = S.answer_all(hot, factors=["Country"])["B"].filter(F.col("Country") == "hot")
     assert {x["IncreasingStress"]: x["count"] for x in b.collect()} == {"yes": 1429, "no": 8571}
