@@ -75,3 +75,15 @@ def test_answer_all_reads_gold_once(gold):
     a = answer_all(gold, materialize=False)["A_rates"]
     plan = _plan(a)
     assert plan.count("FileScan parquet") == 1 and "partial_count" in plan
+
+
+def test_dedup_collapses_copies_before_the_shuffle(spark):
+    from strata.operators.clean import dedup
+
+    copies = spark.range(30000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'same' ELSE CAST(id AS STRING) END AS Gender", "'x' AS Country")
+    d = dedup(copies)
+    plan = _plan(d)
+    first_exchange = plan.index("Exchange")
+    assert plan.count("HashAggregate") >= 2 and plan.rindex("HashAggregate") > first_exchange
+    assert d.count() == 20001
