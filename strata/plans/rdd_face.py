@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from strata.schemas import FACTORS, TARGET
+from strata.session import ship_package
 
 
 def _is(v, positive: str = "yes") -> int:
@@ -23,6 +24,7 @@ def _add2(a, b):
 
 
 def top_category_rdd(spark: SparkSession, df: DataFrame, factors=FACTORS, target=TARGET) -> DataFrame:
+    ship_package(spark)
     present = [f for f in factors if f in df.columns]
     rows = df.select(target, *present).rdd
 
@@ -48,6 +50,7 @@ def top_category_rdd(spark: SparkSession, df: DataFrame, factors=FACTORS, target
 
 
 def share_within_rdd(spark: SparkSession, df: DataFrame, group: str, value: str) -> DataFrame:
+    ship_package(spark)
     def count_into(acc, v):
         acc[v] = acc.get(v, 0) + 1
         return acc
@@ -70,6 +73,7 @@ def share_within_rdd(spark: SparkSession, df: DataFrame, group: str, value: str)
 
 
 def share_global_rdd(spark: SparkSession, df: DataFrame, value: str) -> DataFrame:
+    ship_package(spark)
     counts = df.select(value).rdd.map(lambda r: (r[0], 1)).reduceByKey(lambda a, b: a + b)
     total = counts.values().sum()  # one number back to the driver
     schema = T.StructType([T.StructField(value, T.StringType()), T.StructField("count", T.LongType(), False),
@@ -79,6 +83,7 @@ def share_global_rdd(spark: SparkSession, df: DataFrame, value: str) -> DataFram
 
 def rate_by_group_rdd(spark: SparkSession, df: DataFrame, key: str, flag_col: str,
                       drop_null_key: bool = False) -> DataFrame:
+    ship_package(spark)
     rows = df.select(key, flag_col).rdd.filter(lambda r: r[1] is not None)
     if drop_null_key:
         rows = rows.filter(lambda r: r[0] is not None)

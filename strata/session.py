@@ -8,8 +8,10 @@ registered as the checkpoint dir.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -61,3 +63,27 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared scratch root."""
     return f"{scratch_root(spark)}/strata-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``strata`` importable in the Python workers, as ``--py-files`` would: zip the
+    package on the driver once per application and register it with ``addPyFile`` (Spark
+    serves it to every executor). Needed only where Python functions run in tasks (the
+    RDD face); everything else is JVM-side."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="strata-pyfiles-"), "strata.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)

@@ -1,4 +1,5 @@
 import os
+import sys
 
 from conftest import SF_SMALL, rows
 from strata import fixtures
@@ -132,3 +133,25 @@ def test_bronze_stream_is_incremental_across_restarts(spark, tmp_path):
     start_bronze_stream(spark, str(raw_dir), out, checkpoint=ckpt).awaitTermination()  # restart
     got = sorted(r["_status"] for r in spark.read.parquet(out).collect())
     assert got == ["parse_error", "schema_error", "valid", "valid"]  # first file not read twice
+
+
+def test_rdd_face_runs_from_another_directory(tmp_path):
+    """Python workers import the package shipped with addPyFile, not the caller's cwd."""
+    import subprocess
+    import textwrap
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "run.py"
+    script.write_text(textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {repo!r})
+        from strata.session import build_session
+        from strata.plans.rdd_face import rate_by_group_rdd
+        spark = build_session(master="local[2]", shuffle_partitions=2)
+        df = spark.createDataFrame([("a", "yes"), ("a", "no")], "k string, f string")
+        print(sorted(tuple(r) for r in rate_by_group_rdd(spark, df, "k", "f").collect()))
+    """))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env,
+                         capture_output=True, text=True, timeout=300)
+    assert "[('a', 1, 2, 0.5)]" in out.stdout, out.stderr[-2000:]
