@@ -1,6 +1,9 @@
 import os
 import sys
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from conftest import SF_SMALL, rows
 from strata import fixtures
 from strata.operators import clean as C
@@ -155,3 +158,22 @@ def test_rdd_face_runs_from_another_directory(tmp_path):
     out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env,
                          capture_output=True, text=True, timeout=300)
     assert "[('a', 1, 2, 0.5)]" in out.stdout, out.stderr[-2000:]
+
+
+_CELL = ["a", " ", ",", '"', "'", "\n", "\r", "\\", "\t", "é", "NULL", '""', "\r\n", "{", "}"]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(*[st.lists(st.sampled_from(_CELL), max_size=6).map("".join)] * 2),
+                min_size=1, max_size=40))
+def test_csv_and_json_round_trips_are_exact(spark, data):
+    from strata.sinks.writers import write_table
+
+    df = spark.createDataFrame(data, "a string, b string")
+    root = scratch_path(spark, "rt-prop")
+    csv_back = read_gold(spark, write_table(df, f"{root}/csv", "csv"), "csv", df.schema)
+    json_back = read_gold(spark, write_table(df, f"{root}/json", "json"), "json", df.schema)
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert sorted(map(tuple, csv_back.collect()), key=key) == sorted(
+        [tuple(None if v == "" else v for v in r) for r in data], key=key)
+    assert sorted(map(tuple, json_back.collect()), key=key) == sorted(data, key=key)
