@@ -21,6 +21,13 @@ def _ratio(num: str, den: str) -> F.Column:
     return F.col(num).cast("double") / F.col(den).cast("double")
 
 
+def _present(df: DataFrame, factors: Sequence[str]) -> list[str]:
+    present = [f for f in factors if f in df.columns]
+    if not present:
+        raise ValueError(f"none of the factor columns {list(factors)} is in the table")
+    return present
+
+
 def rate_by_factor(
     df: DataFrame,
     factors: Sequence[str] = FACTORS,
@@ -31,7 +38,7 @@ def rate_by_factor(
     """Every (factor, category) with its row count, positive count and rate of
     ``target == positive``; null categories are left out, a null target counts as 0.
     One scan for all factors: unpivot -> partial aggregate -> one exchange."""
-    present = [f for f in factors if f in df.columns]
+    present = _present(df, factors)
     long = (
         df.select(flag(target, positive, trim).alias("_hi"), *[F.col(f).cast("string") for f in present])
         .unpivot(["_hi"], present, "factor", "category")
@@ -204,7 +211,7 @@ def answer_all(
     Returns ``{"A", "A_rates", "B", "C", "D", "E"}`` with the same columns and values as
     ``top_category``, ``rate_by_factor``, ``share_within``, ``share_global`` and
     ``rate_by_group`` (D and E by ``rates``)."""
-    present = [f for f in factors if f in df.columns]
+    present = _present(df, factors)
     sets: list[tuple[str, str, str | None]] = [(f, f, None) for f in present]
     sets += [("__within", share_group, target), ("__global", target, None)]
     for key, _, _ in rates:

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-
 from strata.schemas import FACTORS, TARGET
 
 
@@ -85,7 +83,3 @@ def rate_by_group_sql(view: str, key: str, flag_col: str, positive: str = "yes",
     SELECT {q(key)}, CAST({s} AS BIGINT) AS yes_count, COUNT(*) AS total_count,
            {_ratio(s, 'COUNT(*)', decimal)} AS prop
     FROM {q(view)} WHERE {where} GROUP BY {q(key)}"""
-
-
-def run(spark: SparkSession, sql: str) -> DataFrame:
-    return spark.sql(sql)

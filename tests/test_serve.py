@@ -129,3 +129,13 @@ def test_text_reports(spark):
     assert c == [("no: 2 (40.00%)",), ("yes: 3 (60.00%)",)]
     d = rows(S.report_rates(S.rate_by_group(df, "Country", "MentalHealthHistory", drop_null_key=True), "Country"))
     assert d == [("no: 1/2 (50.00%)",), ("se: 1/2 (50.00%)",)]
+
+
+def test_missing_factor_columns_raise(spark):
+    import pytest
+
+    df = _df(spark, DATA)
+    with pytest.raises(ValueError):
+        S.rate_by_factor(df, ["NoSuchColumn"])
+    with pytest.raises(ValueError):
+        S.answer_all(df, factors=["NoSuchColumn"])
