@@ -56,7 +56,7 @@ def is_single_json(line: str | Column) -> Column:
     first = F.coalesce(F.size(wrapped["r"]) == F.lit(1), F.lit(False))
     nested = F.from_json(F.concat(F.lit("[["), line, F.lit("]]")), _WRAP2_SCHEMA, _STRICT)
     second = F.coalesce((F.size(nested) == F.lit(1)) & (F.size(nested[0]) == F.lit(1)), F.lit(False))
-    may_escape = line.rlike(r"\]\s*\}")
+    may_escape = line.contains("]") & line.rlike(r"\]\s*\}")  # cheap test first
     return first & F.when(may_escape, second).otherwise(F.lit(True))
 
 
