@@ -17,8 +17,15 @@ def _one(spark, values, expr):
     return [r[0] for r in df.select(expr(F.col("v"))).collect()]
 
 
+def _by_name(spark, values, expr):
+    """Same, passing the column by name (title_case then goes through SQL text)."""
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    return [r[0] for r in df.select(expr("v")).collect()]
+
+
 def test_title_case_matches_python(spark):
     assert _one(spark, SAMPLES, title_case) == [s.title() for s in SAMPLES]
+    assert _by_name(spark, SAMPLES, title_case) == [s.title() for s in SAMPLES]
 
 
 def test_title_case_null(spark):
@@ -68,4 +75,6 @@ _UNICODE = ("abcXYZ éÜßǄǅǆǱǳﬁﬂŉǰᾳᾼΣσςΑΒγδʰʲªºⅰⅠ
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.text(alphabet=_UNICODE, min_size=1, max_size=10), min_size=5, max_size=30))
 def test_title_case_unicode_property(spark, values):
-    assert _one(spark, values, title_case) == [v.title() for v in values]
+    want = [v.title() for v in values]
+    assert _one(spark, values, title_case) == want
+    assert _by_name(spark, values, title_case) == want
