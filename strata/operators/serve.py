@@ -205,8 +205,8 @@ def answer_all(
     ``(share_group, target)`` and ``(target)`` - and a single aggregate on the three-part
     key ``(set, k1, k2)`` counts rows and positive answers of every flag column, with a
     map-side partial aggregate before the only exchange. The aggregate holds one row per
-    category per set; it is checkpointed (reliable, in the shared checkpoint dir) when
-    ``materialize`` and every answer is then derived from it.
+    category per set; when ``materialize`` it is written as a small Parquet table in the
+    shared scratch folder and every answer is then derived from it.
 
     Returns ``{"A", "A_rates", "B", "C", "D", "E"}`` with the same columns and values as
     ``top_category``, ``rate_by_factor``, ``share_within``, ``share_global`` and
@@ -240,10 +240,14 @@ def answer_all(
         aggs += [F.sum(f"_f{i}").cast("bigint").alias(f"_yes{i}"), F.sum(f"_p{i}").cast("bigint").alias(f"_n{i}")]
     g = long.groupBy("_set", "_k1", "_k2").agg(*aggs)
     if materialize:
-        from strata.session import scratch_root
-
-        scratch_root(df.sparkSession)  # make sure a (shared) checkpoint dir is set
-        g = g.checkpoint(eager=True)
+        # A written table in the shared scratch folder: one job, columnar, and it cuts the
+        # lineage so the answers below never rescan the input.
+        from strata.session import scratch_path
+
+        spark = df.sparkSession
+        path = scratch_path(spark, "answers")
+        g.write.parquet(path)
+        g = spark.read.parquet(path)
     t = flags.index(target)
 
     def rows_of(name):
