@@ -177,3 +177,23 @@ def test_csv_and_json_round_trips_are_exact(spark, data):
     assert sorted(map(tuple, csv_back.collect()), key=key) == sorted(
         [tuple(None if v == "" else v for v in r) for r in data], key=key)
     assert sorted(map(tuple, json_back.collect()), key=key) == sorted(data, key=key)
+
+
+def test_scratch_uses_the_clusters_checkpoint_dir():
+    from strata.session import scratch_path, scratch_root
+
+    class _Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+    class _Session:
+        def __init__(self, value):
+            self.conf = _Conf(value)
+
+    shared = _Session("hdfs://cluster/shared/ckpt/")
+    assert scratch_root(shared) == "hdfs://cluster/shared/ckpt"
+    p = scratch_path(shared, "x")
+    assert p.startswith("hdfs://cluster/shared/ckpt/strata-x-") and p != scratch_path(shared, "x")
