@@ -87,3 +87,9 @@ def test_dedup_collapses_copies_before_the_shuffle(spark):
     first_exchange = plan.index("Exchange")
     assert plan.count("HashAggregate") >= 2 and plan.rindex("HashAggregate") > first_exchange
     assert d.count() == 20001
+
+
+def test_question_aggregates_run_in_whole_stage_codegen(gold):
+    plan = _plan(S.rate_by_group(gold, "Country", "MentalHealthHistory"), final=True)
+    assert "*(1) HashAggregate" in plan or "*(2) HashAggregate" in plan
+    assert "ColumnarToRow" in plan  # vectorised Parquet read feeding the codegen stage
