@@ -38,6 +38,14 @@ from strata.sinks.writers import output_sizes  # noqa: E402
 from strata.sources.files import read_gold, read_silver_csv  # noqa: E402
 from strata.sources.jsonl import bronze, quarantine, read_lines  # noqa: E402
 
+# The language-model operators and the pipeline are optional: without their folders every
+# other query still works.
+try:
+    import corpus_pipeline  # noqa: E402
+    from strata.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 VIEW = "survey_gold"
 SILVER_OUT = SURVEY_COLUMNS + ["_source", "_status"]
@@ -152,6 +160,13 @@ def _bronze_stream(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    own = _queries()
+    if llm_queries is not None:
+        own |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return own
+
+
+def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # Bronze
         "raw_lines": _raw_lines,
@@ -339,6 +354,15 @@ _NO_PAIR = ", ".join(c for c in SURVEY_COLUMNS if c not in PAIR)
 
 
 def oracle_sql() -> dict[str, str]:
+    own = _oracle_sql()
+    if llm_queries is not None:
+        own |= llm_queries.ORACLE
+        if corpus_pipeline.ORACLE_SQL:
+            own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own
+
+
+def _oracle_sql() -> dict[str, str]:
     faces = ", ".join(f"('{q}', '{f}', CAST(0 AS BIGINT))" for q in compare.QUESTIONS for f in ("sql", "rdd"))
     keep_pair_cols = ", ".join(
         f"CASE WHEN {PAIR[0]} = {PAIR[1]} THEN NULL ELSE {c} END AS {c}" if c in PAIR else c
