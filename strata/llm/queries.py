@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import imatch, mixing, packing, pii
+from strata.llm import imatch, langid, mixing, packing, pii, toxicity
 from strata.llm.common import table
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(table(spark, sf_dir, "documents"), count_col="n_entities").select("doc_id", "text", "n_entities")
 
@@ -28,6 +38,8 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": _op1,
+    "op2_toxicity": _op2,
     "op4_pii_surrogates": _op4,
     "op5_imatch": _op5,
     "op6_temperature_mixing": _op6,

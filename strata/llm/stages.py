@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 from strata.llm import mixing as mixing_op
 from strata.llm import packing as packing_op
 from strata.llm import pii
+from strata.llm import toxicity as toxicity_op
+from strata.llm.common import table
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model does not reject."""
+    return toxicity_op.keep_clean(docs, toxicity_op.train(docs, table(spark, sf_dir, "labels")))
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,6 +61,7 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     counts: np.ndarray  # words of each row
+    offsets: np.ndarray  # where each row's text begins in ``data``
 
     @property
     def first(self) -> np.ndarray:
@@ -92,7 +93,7 @@ def split_words(col: pa.Array, lower: bool = False, alnum: bool = False) -> Word
     n = len(data)
     if n == 0:
         z = np.zeros(0, np.int64)
-        return Words(data, z, z, np.zeros(len(col), np.int64))
+        return Words(data, z, z, np.zeros(len(col), np.int64), offs[:-1])
     inside = _ALNUM[data] if alnum else ~_SPACE[data]
     cut = np.zeros(n + 1, bool)
     cut[offs] = True
@@ -103,7 +104,7 @@ def split_words(col: pa.Array, lower: bool = False, alnum: bool = False) -> Word
     starts = np.flatnonzero(here & (cut | ~before))
     ends = np.flatnonzero(before & (cut | ~here))
     at = np.searchsorted(starts, offs)
-    return Words(data, starts, ends, np.diff(at))
+    return Words(data, starts, ends, np.diff(at), offs[:-1])
 
 
 def pieces_of(batch: pa.RecordBatch, col: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
