@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import imatch, langid, mixing, packing, pii, toxicity
+from strata.llm import imatch, langid, mixing, packing, pii, superkmer, toxicity
 from strata.llm.common import table
 
 
@@ -20,6 +20,10 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer.dedup(table(spark, sf_dir, "documents"))
+
+
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(table(spark, sf_dir, "documents"), count_col="n_entities").select("doc_id", "text", "n_entities")
 
@@ -40,6 +44,7 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": _op1,
     "op2_toxicity": _op2,
+    "op3_substring_dedup": _op3,
     "op4_pii_surrogates": _op4,
     "op5_imatch": _op5,
     "op6_temperature_mixing": _op6,
@@ -47,4 +52,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL where it can state a query's result.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_substring_dedup": superkmer.ORACLE}

@@ -88,12 +88,15 @@ def split_words(col: pa.Array, lower: bool = False, alnum: bool = False) -> Word
     """Words of a string column: runs without ASCII white space; with ``alnum`` runs of
     ASCII letters, digits and non-ASCII bytes. ``lower`` maps A-Z to a-z."""
     data, offs = text_bytes(col)
-    if lower:
-        data = _LOWER[data]
+    return split_bytes(_LOWER[data] if lower else data, offs, alnum)
+
+
+def split_bytes(data: np.ndarray, offs: np.ndarray, alnum: bool = False) -> Words:
+    """The same for bytes that ``offs`` cuts into rows."""
     n = len(data)
     if n == 0:
         z = np.zeros(0, np.int64)
-        return Words(data, z, z, np.zeros(len(col), np.int64), offs[:-1])
+        return Words(data, z, z, np.zeros(len(offs) - 1, np.int64), offs[:-1])
     inside = _ALNUM[data] if alnum else ~_SPACE[data]
     cut = np.zeros(n + 1, bool)
     cut[offs] = True
@@ -107,6 +110,29 @@ def split_words(col: pa.Array, lower: bool = False, alnum: bool = False) -> Word
     return Words(data, starts, ends, np.diff(at), offs[:-1])
 
 
+def run_hash(h: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each run of ``width`` neighbouring hashes, n - width + 1 of them."""
+    n = len(h) - width + 1
+    if n <= 0:
+        return np.zeros(0, U)
+    out = np.zeros(n, U)
+    for i in range(width):
+        out = out * U(_BASE) + h[i : i + n]
+    return mix(out)
+
+
+def run_starts(counts: np.ndarray, width: int) -> np.ndarray:
+    """Indexes at which a run of ``width`` items fits into its row, for rows of ``counts``
+    items that follow each other."""
+    n = int(counts.sum())
+    ok = np.ones(n, bool)
+    last = np.cumsum(counts)
+    for k in range(1, width):
+        at = last - k
+        ok[at[counts >= k]] = False
+    return np.flatnonzero(ok)
+
+
 def pieces_of(batch: pa.RecordBatch, col: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about ``most_bytes`` of text each (one row at least), so that
     working memory follows the slice and not the batch."""
