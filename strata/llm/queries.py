@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import imatch, langid, mixing, packing, pii, superkmer, toxicity
+from strata.llm import hpyp, imatch, langid, mixing, packing, pii, pq, setjoin, superkmer, toxicity
 from strata.llm.common import table
 
 
@@ -37,10 +37,22 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", *mixing.MADE)
 
 
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.join(table(spark, sf_dir, "documents"))
+
+
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpyp.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": _op1,
     "op2_toxicity": _op2,
@@ -48,7 +60,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii_surrogates": _op4,
     "op5_imatch": _op5,
     "op6_temperature_mixing": _op6,
+    "op7_product_quantisation": _op7,
+    "op8_jaccard_join": _op8,
     "op9_best_fit_packing": _op9,
+    "op10_pitman_yor": _op10,
 }
 
 #: DuckDB SQL where it can state a query's result.

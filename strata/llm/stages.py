@@ -3,12 +3,12 @@ but the last return the columns of the documents, and ``n_chars`` follows a chan
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm import mixing as mixing_op
 from strata.llm import packing as packing_op
-from strata.llm import pii
+from strata.llm import pii, setjoin
 from strata.llm import toxicity as toxicity_op
 from strata.llm.common import table
 
@@ -18,6 +18,21 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity_op.keep_clean(docs, toxicity_op.train(docs, table(spark, sf_dir, "labels")))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id. Shingles
+    of five words, similarity of 0.8 or more. Rows with a null id stay."""
+    found = setjoin.join(docs, width=5, percent=80)
+    drop = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(drop, "doc_id", "left_anti").select(docs.columns)
+    again = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    if again.isEmpty():
+        return kept
+    # rows that share an id are one group: the first in order of text stays
+    first = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
+    ranked = kept.filter("doc_id is not null").withColumn("__rank", F.row_number().over(first)).filter(F.col("__rank") == 1)
+    return ranked.select(docs.columns).unionAll(kept.filter("doc_id is null"))
+
+
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by surrogates."""
     out = pii.replace(docs)
