@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import on_workers, shuffle_partitions
+from strata.llm.bitmap import Bitmap
+from strata.llm.common import on_workers, shuffle_partitions, stored
 from strata.llm.words import pieces_of, run_hash, run_starts, sliding_min, span_hash, split_bytes, split_words
 
 WINDOW, GRAM = 13, 3
 #: Bytes of strings that a bucket holds on average, and that a task gathers before it sends.
-BUCKET_BYTES, HELD_BYTES = 8 << 20, 32 << 20
+BUCKET_BYTES, HELD_BYTES = 2 << 20, 64 << 20
 _ITEM = np.dtype([("doc", "<i8"), ("key", "<i8"), ("start", "<i4"), ("stop", "<i4"), ("size", "<i4")])
 _RANGES = "doc long, key long, start int, stop int"
 
@@ -126,7 +127,7 @@ def ranges(df: DataFrame, window: int = WINDOW) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(metas, pa.binary()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())], ["bucket", "items", "size", "strings"])
 
         for whole in batches:
-            for b in pieces_of(whole, "text", 4 << 20):
+            for b in pieces_of(whole, "text"):
                 w = split_words(b.column(2))
                 row, lo, hi, least = super_kmers(w, window)
                 docs, keys = b.column(0).to_numpy(), b.column(1).to_numpy()
@@ -138,16 +139,16 @@ def ranges(df: DataFrame, window: int = WINDOW) -> DataFrame:
                     was = held.get(text)
                     if was is None:
                         held[text] = (bucket, [it])
-                        n_held += len(text) + 250
+                        n_held += len(text) + 500
                     elif doc > was[1][0][0]:
                         known.append((bucket, it))
-                        n_held += 100
+                        n_held += 300
                     elif doc == was[1][0][0]:
                         was[1].append(it)
                     else:
                         known.extend((bucket, x) for x in was[1])
                         held[text] = (bucket, [it])
-                if n_held > HELD_BYTES * 3:
+                if n_held > HELD_BYTES:
                     yield flush()
                     n_held = 0
         yield flush()
@@ -180,7 +181,11 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
     on_workers(df.sparkSession)
     docs = df.select(df[id_col].cast("long").alias("doc"), F.xxhash64(df[text_col]).alias("key"), df[text_col].alias("text"))
     of = ranges(docs, window).groupBy("doc", "key").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
-    joined = docs.join(of, ["doc", "key"], "left").select("doc", "text", "starts", "stops")
+    of = stored(of, "repeats")  # a row for each text that has some
+    some = Bitmap(of.select("doc", "key"))  # only texts with repeats are shuffled
+    none = F.lit(None).cast("array<int>")
+    joined = some.split(docs, True).join(of, ["doc", "key"], "left").select("doc", "text", "starts", "stops")
+    joined = joined.unionAll(some.split(docs, False).select("doc", "text", none.alias("starts"), none.alias("stops")))
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
 
     def cut(batches):
