@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.bitmap import Bitmap
 from strata.llm.common import on_workers, stored
 from strata.llm.components import components
 from strata.llm.words import U, mix, pieces_of, run_hash, run_starts, span_hash, split_words
@@ -77,7 +78,7 @@ def count_sketch(docs: DataFrame, width: int, slots: int) -> np.ndarray:
         for whole in batches:
             for b in pieces_of(whole, "text"):
                 _, h = shingles(b.column(0), width)
-                total += np.bincount((mix(h) % U(slots)).astype(np.int64), minlength=slots).astype(np.uint32)
+                np.add.at(total, (mix(h) % U(slots)).astype(np.int64), np.uint32(1))
         packed = [pa.compress(total[i * part : (i + 1) * part].tobytes(), "zstd", asbytes=True) for i in range(_CHUNKS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(_CHUNKS), pa.int32()), pa.array(packed, pa.binary())], ["chunk", "counts"])
 
@@ -147,27 +148,16 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
     spark = docs.sparkSession
     pairs = stored(pairs, "join-pairs")
     ids = stored(pairs.select(F.col("a").alias("doc")).unionAll(pairs.select("b")).distinct(), "join-ids")
-    bits = 1 << int(np.clip(math.ceil(math.log2(max(1, ids.count()) * 16)), 16, 30))
-    bit = F.pmod(F.xxhash64("doc"), F.lit(bits))
-    lit = ids.select((bit / 8).cast("long").alias("byte"), F.pmod(bit, F.lit(8)).alias("k")).distinct()
-    lit = lit.groupBy("byte").agg(F.sum(F.expr("shiftleft(1, cast(k as int))")).alias("v"))
-    bitmap = np.zeros(bits // 8, np.uint8)
-    for r in lit.toLocalIterator():
-        bitmap[r["byte"]] = r["v"]
-    held = spark.sparkContext.broadcast(bitmap)
 
     def sets(batches):
         for whole in batches:
-            at = np.asarray(whole.column(2).to_numpy(zero_copy_only=False), np.int64)
-            may = (held.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            some = whole.filter(pa.array(may.astype(bool)))
-            for b in pieces_of(some, "text"):
+            for b in pieces_of(whole, "text"):
                 row, h = _sets(b.column(1), width, None)
                 parts = np.split(h, np.cumsum(np.bincount(row, minlength=b.num_rows))[:-1])
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([p.tobytes() for p in parts], pa.binary())], ["doc", "hashes"])
 
-    made = docs.select("doc", "text", bit.alias("bit")).mapInArrow(sets, "doc long, hashes binary")
-    made = stored(made.join(ids, "doc").dropDuplicates(["doc"]), "join-sets")
+    may = Bitmap(ids).split(docs.select("doc", "text"), True).join(ids, "doc").dropDuplicates(["doc"])
+    made = stored(may.mapInArrow(sets, "doc long, hashes binary"), "join-sets")
     both = pairs.join(made.select(F.col("doc").alias("a"), F.col("hashes").alias("x")), "a")
     both = both.join(made.select(F.col("doc").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
 
@@ -195,7 +185,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: i
     on_workers(df.sparkSession)
     every = df.select(df[id_col].cast("long").alias("doc"), df[text_col].alias("text"))
     total = every.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    slots = sketch_slots or 1 << int(np.clip(math.ceil(math.log2(total / 64 + 1)), 16, 27))
+    slots = sketch_slots or 1 << int(np.clip(math.ceil(math.log2(total / 256 + 1)), 16, 26))
     sketch = count_sketch(every, width, slots)
     boundary = cost_boundary(float(sketch.sum()) / max(1, np.count_nonzero(sketch)), percent)
     rows = stored(_nodes(every, width, percent, np.minimum(sketch, 0xFFFF).astype(np.uint16), boundary), "join-nodes")
