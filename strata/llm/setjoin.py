@@ -195,11 +195,16 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: i
     fits = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
     order = Window.partitionBy("key").orderBy("n", "node")
     lists = classes.select("node", "n", F.explode("keys").alias("key")).distinct()
+    mixed_up = Window.partitionBy("key").orderBy(F.xxhash64("key", "node"), "node")
     lists = lists.withColumn("next", F.lead(F.struct("node", "n")).over(order)).withColumn("prev", F.lag("node").over(order))
-    lists = stored(lists.filter("next is not null or prev is not null"), "join-lists")
+    lists = lists.filter("next is not null or prev is not null")
+    lists = stored(lists.withColumn("other", F.lead(F.struct("node", "n")).over(mixed_up)), "join-lists")
     pair = lambda a, b: [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-    near = lists.filter(F.col("next").isNotNull() & fits(F.col("n"), F.col("next.n")))
-    near = near.select(*pair(F.col("node"), F.col("next.node"))).filter("a <> b").distinct()
+    # neighbours by size, and in an order of each list's own: in a group of near copies that
+    # is a random graph, which links nearly all that can be linked
+    near = lists.select("node", "n", F.explode(F.array("next", "other")).alias("to"))
+    near = near.filter(F.col("to").isNotNull() & fits(F.col("n"), F.col("to.n")))
+    near = near.select(*pair(F.col("node"), F.col("to.node"))).filter("a <> b").distinct()
     links = stored(_verified(every, near, width, percent), "join-links")
     # what is still apart after the first links
     comp = components(links)
