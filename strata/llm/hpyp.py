@@ -26,7 +26,7 @@ from strata.llm.common import fold, on_workers, shuffle_partitions, stored
 from strata.llm.words import U, mix, pieces_of, span_hash, split_words
 
 CONTEXTS, CHUNKS = 1 << 16, 16
-BUCKET_BYTES, HELD_TOKENS, HELD_DOCS = 16 << 20, 3_000_000, 30_000
+BUCKET_BYTES, HELD_TOKENS, HELD_DOCS = 10 << 20, 1_500_000, 30_000
 _END, _START, _HELD_OUT = U(0x0E0D), U(0x57A7), 0x8000
 _FIELDS = ("words", "pairs", "ctx", "count", "posts", "part", "doc")
 _TYPES = ("<u8", "<u4", "<u2", "<u4", "<u4", "<u4", "<u2")
