@@ -198,7 +198,7 @@ def _token_labels(f: np.ndarray, w: Words, toxic: np.ndarray) -> np.ndarray:
     return (np.isin(f[0], marked) & (toxic[w.row] == 1)).astype(float)
 
 
-def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int = 120, l2: float = 1e-4) -> Model:
+def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int = 120, l2: float = 0.05) -> Model:
     """The field and the logistic fit. ``weights``: of each document in the logistic fit."""
     w = split_words(pa.array(texts, pa.large_string()), lower=True, alnum=True)
     f, reset = _features(w), _resets(w)
