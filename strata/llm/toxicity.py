@@ -198,7 +198,7 @@ def _token_labels(f: np.ndarray, w: Words, toxic: np.ndarray) -> np.ndarray:
     return (np.isin(f[0], marked) & (toxic[w.row] == 1)).astype(float)
 
 
-def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int = 120, l2: float = 0.05) -> Model:
+def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int = 120, l2: float = 0.5) -> Model:
     """The field and the logistic fit. ``weights``: of each document in the logistic fit."""
     w = split_words(pa.array(texts, pa.large_string()), lower=True, alnum=True)
     f, reset = _features(w), _resets(w)
@@ -232,7 +232,7 @@ def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int =
         joint /= joint.sum((0, 1))
         seen = [[((prev_y[inner] == s) & (y[inner] == t)).sum() for t in (0, 1)] for s in (0, 1)]
         g[-4:] = (joint.sum(2) - np.array(seen)).ravel()
-        g = g / n + l2 * theta / len(texts)
+        g = (g + l2 * theta) / n
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta -= 0.15 * (m / (1 - 0.9 ** (i + 1))) / (np.sqrt(v / (1 - 0.99 ** (i + 1))) + 1e-9)
     keep = np.abs(theta[: len(keys)]) > 0.3
