@@ -70,9 +70,20 @@ def _silver(spark, sf) -> DataFrame:
 
 
 def _gold(spark, sf) -> DataFrame:
-    """Default Gold computed from Silver (reference null words, title case, merge with
-    null on mismatch)."""
-    return C.clean(_silver(spark, sf))
+    """Default Gold as written (Parquet); every question is served from it."""
+    return read_gold(spark, _layers(spark, sf).gold["parquet"], "parquet")
+
+
+def _silver_by_name(spark, sf) -> DataFrame:
+    """Silver written as CSV with its columns in reverse order, read back by header."""
+    from strata.session import scratch_path
+    from strata.sources.files import CSV_OPTIONS
+
+    silver, out = _silver(spark, sf), scratch_path(spark, "silver-reversed")
+    text = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
+    silver.select(silver.columns[::-1]).write.options(**text, quoteAll="true", ignoreLeadingWhiteSpace="false",
+                                                      ignoreTrailingWhiteSpace="false").csv(out)
+    return read_silver_csv(spark, out).select(*SILVER_OUT)
 
 
 # ----------------------------------------------------------------------------- entry
@@ -109,11 +120,10 @@ def _top_one(spark, sf):
 
 
 def _merge_whole_table(spark, sf):
-    # Respondents whose two social-weakness answers agree: the whole table agrees, so the
-    # pair collapses into one column, renamed in place.
+    # The second answer is set to the first, so the whole table agrees and the pair collapses
+    # into one column, renamed in place.
     df = C.drop_missing(C.drop_metadata(_silver(spark, sf)))
-    agreeing = df.filter(F.col(PAIR[0]) == F.col(PAIR[1]))
-    return C.merge_pair(agreeing, policy="whole_table")
+    return C.merge_pair(df.withColumn(PAIR[1], F.col(PAIR[0])), policy="whole_table")
 
 
 def _merge_whole_table_mismatch(spark, sf):
@@ -140,11 +150,6 @@ def _gold_faces_row_counts(spark, sf):
     return out
 
 
-def _catalog_views(spark, sf):
-    _gold(spark, sf).createOrReplaceTempView(VIEW)
-    return spark.sql("SHOW TABLES").filter(F.col("isTemporary") & (F.col("tableName") == VIEW))
-
-
 def _output_sizes(spark, sf):
     return output_sizes(spark, _layers(spark, sf).gold)
 
@@ -179,6 +184,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_flatten": lambda s, d: I.flatten(_bronze(s, d)).select(*SILVER_OUT),
         "bronze_roundtrip": lambda s, d: I.flatten(s.read.parquet(_layers(s, d).bronze)).select(*SILVER_OUT),
         "silver_csv_scan": lambda s, d: _silver(s, d).select(*SILVER_OUT),
+        "silver_csv_by_name": _silver_by_name,
         # cleaning rules
         "clean_drop_null": lambda s, d: C.drop_missing(C.drop_metadata(_silver(s, d))),
         "clean_drop_null_pandas": lambda s, d: C.drop_missing(C.drop_metadata(_silver(s, d)), nulls="pandas"),
@@ -194,7 +200,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "drop_metadata": lambda s, d: C.drop_metadata(_silver(s, d)),
         "clean_dedup": lambda s, d: C.clean(_silver(s, d), dedup_rows=True),
         "clean_row_counts": lambda s, d: C.clean_counts(_silver(s, d)),
-        "silver_to_gold": lambda s, d: _gold(s, d),
+        "silver_to_gold": lambda s, d: C.clean(_silver(s, d)),
         "silver_to_gold_pandas_rules": lambda s, d: C.clean(_silver(s, d), nulls="pandas", merge="whole_table"),
         "gold_faces_row_counts": _gold_faces_row_counts,
         # sinks
@@ -202,7 +208,6 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_roundtrip_csv": lambda s, d: read_gold(s, _layers(s, d).gold["csv"], "csv"),
         "gold_roundtrip_json": lambda s, d: read_gold(s, _layers(s, d).gold["json"], "json"),
         "output_sizes": _output_sizes,
-        "catalog_views": _catalog_views,
         "sample_rows": lambda s, d: S.sample_rows(_gold(s, d), 0.1, seed=42),
         # serving
         "top_category_per_factor": lambda s, d: S.top_category(_gold(s, d)),
@@ -385,6 +390,7 @@ def _oracle_sql() -> dict[str, str]:
         "silver_flatten": _with(f"SELECT {_SILVER_OUT} FROM silver"),
         "bronze_roundtrip": _with(f"SELECT {_SILVER_OUT} FROM silver"),
         "silver_csv_scan": _with(f"SELECT {_SILVER_OUT} FROM silver_csv"),
+        "silver_csv_by_name": _with(f"SELECT {_SILVER_OUT} FROM silver_csv"),
         "clean_drop_null": _with(f"SELECT {_SURVEY} FROM complete"),
         "clean_drop_null_pandas": _with(
             f"SELECT {_SURVEY} FROM silver_csv WHERE {_complete(PANDAS_NULL_WORDS)}"),
@@ -407,7 +413,7 @@ def _oracle_sql() -> dict[str, str]:
         "merge_whole_table": _with(
             "SELECT " + ", ".join(f"{PAIR[0]} AS {MERGED}" if c == PAIR[0] else c
                                   for c in SURVEY_COLUMNS if c != PAIR[1])
-            + f" FROM complete WHERE {PAIR[0]} = {PAIR[1]}"
+            + " FROM complete"
         ),
         "merge_whole_table_mismatch": _with(f"SELECT {_SURVEY} FROM complete"),
         "drop_metadata": _with(f"SELECT {_SURVEY} FROM silver_csv"),

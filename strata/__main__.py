@@ -55,6 +55,11 @@ def cmd_clean(args) -> None:
     print(json.dumps({"gold": paths, "seconds": seconds}))
 
 
+def _show_all(answer) -> None:
+    """Every row of a printed answer (a row for each category, country or occupation)."""
+    answer.show(max(1, answer.count()), truncate=False)
+
+
 def cmd_serve(args) -> None:
     spark = _session()
     gold = spark.read.parquet(args.gold)
@@ -62,7 +67,7 @@ def cmd_serve(args) -> None:
         t0 = time.perf_counter()
         for name, answer in S.answer_all(gold).items():
             print(f"=== {name}")
-            answer.show(100, truncate=False)
+            _show_all(answer)
         print(f"one scan: {time.perf_counter() - t0:.2f}s")
         return
     wanted = args.faces.split(",")
@@ -73,7 +78,7 @@ def cmd_serve(args) -> None:
             t0 = time.perf_counter()
             answer = by_face[face]()
             if face == wanted[0]:
-                answer.show(100, truncate=False)
+                _show_all(answer)
             else:
                 answer.write.format("noop").mode("overwrite").save()
             print(f"{face}: {time.perf_counter() - t0:.2f}s")
@@ -100,7 +105,7 @@ def main(argv=None) -> int:
     c.set_defaults(fn=cmd_clean)
     s = sub.add_parser("serve")
     s.add_argument("gold")
-    s.add_argument("--faces", default="dataframe,sql,rdd")
+    s.add_argument("--faces", default="dataframe,sql")
     s.add_argument("--one-scan", action="store_true", help="answer A-E from one scan of Gold")
     s.set_defaults(fn=cmd_serve)
     args = p.parse_args(argv)

@@ -56,7 +56,7 @@ def write_gold(spark: SparkSession, df: DataFrame, root: str, formats: Sequence[
     # The other formats only read the written Parquet and are independent: submit them as
     # concurrent jobs so one job's last tasks do not leave the cluster idle.
     with ThreadPoolExecutor(max_workers=max(1, len(others))) as pool:
-        done = {fmt: pool.submit(write_table, written, f"{root}/{fmt}", fmt) for fmt in others}
+        done = {fmt: pool.submit(write_table, written, f"{root}/{fmt}", fmt, partitions) for fmt in others}
         for fmt in others:
             paths[fmt] = done[fmt].result()
     return paths

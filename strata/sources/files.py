@@ -13,8 +13,16 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true
 
 
 def read_silver_csv(spark: SparkSession, path: str, schema: T.StructType = SILVER_SCHEMA) -> DataFrame:
-    """Silver CSV with header, by the declared schema (no inference pass over the data)."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    """Silver CSV, its columns bound by header name to the declared schema, in any order.
+
+    The header of one file gives the order; Spark checks every other file's header against it.
+    Names that are missing from the header or not in the schema are an error.
+    """
+    names = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    if sorted(names) != sorted(schema.fieldNames()):
+        raise ValueError(f"CSV header {names} does not hold the columns {schema.fieldNames()}")
+    by_name = T.StructType([schema[n] for n in names])
+    return spark.read.schema(by_name).options(**CSV_OPTIONS, enforceSchema="false").csv(path).select(schema.fieldNames())
 
 
 def read_gold(

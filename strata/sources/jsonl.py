@@ -37,7 +37,12 @@ from strata.schemas import (
 )
 
 _CORRUPT = "_corrupt"
-_STRICT = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
+# No limit on the length of numbers and strings, as in ``json.loads``.
+_LONG = str(2**31 - 1)
+_STRICT = {
+    "allowSingleQuotes": "false", "mode": "PERMISSIVE",
+    "maxNumLen": _LONG, "maxStringLen": _LONG, "maxNestingDepth": _LONG,
+}
 _PAYLOAD_SCHEMA = T.StructType(list(RAW_SCHEMA.fields) + [T.StructField(_CORRUPT, T.StringType())])
 _WRAP_SCHEMA = T.StructType([T.StructField("r", T.ArrayType(T.StringType()))])
 _WRAP2_SCHEMA = T.ArrayType(T.ArrayType(T.StringType()))

@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.session import scratch_path
 from strata.sources.jsonl import bronze
 
 
@@ -15,7 +14,9 @@ def start_bronze_stream(spark: SparkSession, raw_dir: str, out_path: str,
                         checkpoint: str | None = None, available_now: bool = True,
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream. ``available_now`` processes what is there in bounded batches and
-    stops (incremental batch); otherwise it keeps polling for new files."""
+    stops (incremental batch); otherwise it keeps polling for new files. Without
+    ``checkpoint`` the progress is kept under ``out_path`` (``_checkpoint``, which readers
+    skip), so that a second start on one output goes on where the first ended."""
     reader = spark.readStream.format("text").option("lineSep", "\n")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -24,7 +25,7 @@ def start_bronze_stream(spark: SparkSession, raw_dir: str, out_path: str,
         records.writeStream.format("parquet")
         .outputMode("append")
         .option("path", out_path)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "bronze-stream-ckpt"))
+        .option("checkpointLocation", checkpoint or f"{out_path.rstrip('/')}/_checkpoint")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
