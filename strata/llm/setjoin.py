@@ -8,7 +8,9 @@ shingles, so that widely shared passages come last and make no long lists.
 
 Equal sets are one node. Neighbours in a list are verified exactly first; then only pairs of
 nodes that the links found so far leave apart, so that groups of near copies are never
-expanded into all pairs, and no link between components is lost.
+expanded into all pairs, and no link between components is lost. Of those, a pair goes on only
+if its parity signatures allow a link: they differ in at most as many bits as the sets do in
+shingles, so no link is lost there either.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.bitmap import Bitmap
@@ -27,6 +29,9 @@ from strata.llm.components import components
 from strata.llm.words import U, mix, pieces_of, run_hash, run_starts, span_hash, split_words
 
 _CHUNKS = 64
+#: Longs of 64 bits in a parity signature.
+SIGNATURE = 8
+_SIGNED = [f"s{i}" for i in range(SIGNATURE)]
 
 
 def shingles(col: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,9 +112,23 @@ def _sets(col: pa.Array, width: int, sketch: np.ndarray | None):
     return row[new], h[new]
 
 
+def signatures(row: np.ndarray, h: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Parity signature of each row's set: a bit tells whether an odd number of its shingles
+    hash to it. Returned as ``SIGNATURE`` columns of longs."""
+    bits = 64 * SIGNATURE
+    odd = np.bincount(row * bits + (mix(h ^ U(0x51)) % U(bits)).astype(np.int64), minlength=rows * bits) & 1
+    packed = np.packbits(odd.astype(np.uint8).reshape(rows, bits), axis=1, bitorder="little")
+    return list(np.ascontiguousarray(packed).view("<i8").T)
+
+
+def _may_link(n: Column, m: Column, differing: Column, percent: int) -> Column:
+    """Sets of n and m that differ in at least ``differing`` shingles can still be similar."""
+    return differing * (100 + percent) <= (n + m) * (100 - percent)
+
+
 def _nodes(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, boundary: int) -> DataFrame:
-    """(doc, n, f1, f2, keys): set size, 128-bit fingerprint of the set, and the keys under
-    which it meets its partners."""
+    """(doc, n, f1, f2, keys, s0...): set size, 128-bit fingerprint of the set, the keys under
+    which it meets its partners, and its parity signature."""
     held = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches):
@@ -137,9 +156,11 @@ def _nodes(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, bounda
                             more.append(int(np.bitwise_xor.reduce(mix(own[list(pick)] + U(c)))))
                     keys[r] = np.concatenate([keys[r], mix(np.array(more, U) ^ U(0xB2)).view(np.int64)])
                 cols = [b.column(0), pa.array(n, pa.int64()), pa.array(f[0]), pa.array(f[1]), pa.array(keys, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(cols, ["doc", "n", "f1", "f2", "keys"])
+                cols += [pa.array(x) for x in signatures(row, h, rows)]
+                yield pa.RecordBatch.from_arrays(cols, ["doc", "n", "f1", "f2", "keys", *_SIGNED])
 
-    return docs.select("doc", "text").mapInArrow(run, "doc long, n long, f1 long, f2 long, keys array<long>")
+    signed = ", ".join(f"{c} long" for c in _SIGNED)
+    return docs.select("doc", "text").mapInArrow(run, f"doc long, n long, f1 long, f2 long, keys array<long>, {signed}")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -190,7 +211,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: i
     boundary = cost_boundary(float(sketch.sum()) / max(1, np.count_nonzero(sketch)), percent)
     rows = stored(_nodes(every, width, percent, np.minimum(sketch, 0xFFFF).astype(np.uint16), boundary), "join-nodes")
     some = rows.filter("n > 0 and doc is not null")
-    classes = some.groupBy("f1", "f2", "n").agg(F.min("doc").alias("node"), F.first("keys").alias("keys"))
+    classes = some.groupBy("f1", "f2", "n").agg(F.min("doc").alias("node"), F.first("keys").alias("keys"), *[F.first(c).alias(c) for c in _SIGNED])
     classes = stored(classes, "join-classes")
     fits = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
     order = Window.partitionBy("key").orderBy("n", "node")
@@ -210,9 +231,12 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: i
     comp = components(links)
     at = lists.join(comp, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c"))
     mixed = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    at = stored(at.join(mixed, "key"), "join-apart")
-    x, y = at.select("key", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("c").alias("pc")), at
-    more = x.join(y, "key").filter((F.col("pc") < F.col("c")) & fits(F.col("pn"), F.col("n")))
+    at = at.join(mixed, "key").join(classes.select("node", *_SIGNED), "node")
+    at = stored(at, "join-apart")
+    x, y = at.select("key", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("c").alias("pc"), *[F.col(c).alias(f"p{c}") for c in _SIGNED]), at
+    differing = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p{c}"))) for c in _SIGNED), F.lit(0))
+    can = (F.col("pc") < F.col("c")) & fits(F.col("pn"), F.col("n")) & _may_link(F.col("pn"), F.col("n"), differing, percent)
+    more = x.join(y, "key").filter(can)
     more = more.select(*pair(F.col("p"), F.col("node"))).distinct().join(near, ["a", "b"], "left_anti")
     more = stored(_verified(every, more, width, percent), "join-more")
     # equal sets, and rows of one id, hang together

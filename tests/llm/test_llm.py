@@ -121,6 +121,19 @@ def test_jaccard_join(spark, local):
     assert p.n_shingles.tolist() == n and p.component_id.tolist() == comp
 
 
+def test_parity_signatures_allow_every_link():
+    rng = np.random.default_rng(11)
+    pool = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    for size, changed in ((1, 0), (30, 2), (300, 20), (3000, 500)):
+        a = rng.choice(pool[:3500], size, replace=False)
+        b = np.concatenate([a[changed:], pool[3500 : 3500 + changed]])
+        row, h = np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a, b])
+        cols = setjoin.signatures(row, h, 3)  # the third row's set is empty
+        bits = [sum(int(c[r]) % (1 << 64) << (64 * i) for i, c in enumerate(cols)) for r in range(3)]
+        assert len(cols) == setjoin.SIGNATURE and bits[2] == 0
+        assert (bits[0] ^ bits[1]).bit_count() <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
 def test_product_quantisation(spark):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((300, 16))
