@@ -90,12 +90,26 @@ def marginals(e, reset, start, trans) -> np.ndarray:
 def _features(w: Words) -> np.ndarray:
     """(3, n) hashes: the token, the one before and the one after (0 at a document's ends)."""
     h = span_hash(w.data, w.starts, w.ends)
+    h[h == 0] = U(1)  # 0 stands for no token
     prev, nxt = np.zeros_like(h), np.zeros_like(h)
     prev[1:], nxt[:-1] = h[:-1], h[1:]
     some = w.counts > 0
     prev[w.first[some]] = 0
     nxt[(w.first + w.counts - 1)[some]] = 0
-    return np.stack([h, mix(prev ^ U(0xA5A5A5A5)), mix(nxt ^ U(0x5A5A5A5A))])
+    return np.stack([h, _before(prev), _after(nxt)])
+
+
+def _before(token: np.ndarray) -> np.ndarray:
+    return mix(token ^ U(0xA5A5A5A5))
+
+
+def _after(token: np.ndarray) -> np.ndarray:
+    return mix(token ^ U(0x5A5A5A5A))
+
+
+def _feature_keys(tokens: np.ndarray) -> np.ndarray:
+    """Hashes of the features that tokens make: as the token, the one before, the one after."""
+    return np.concatenate([tokens, _before(tokens), _after(tokens)])
 
 
 def _resets(w: Words) -> np.ndarray:
@@ -184,9 +198,14 @@ def _token_labels(f: np.ndarray, w: Words, toxic: np.ndarray) -> np.ndarray:
     those of others, by a log-likelihood ratio that chance would not reach among that many
     different tokens (the best token if none does). Near copies count once."""
     alone = ~_copies(f, w)
-    pair = np.unique(np.stack([f[0], w.row.astype(U)], 1)[alone[w.row]], axis=0)
-    keys, at = np.unique(pair[:, 0], return_inverse=True)
-    hot = toxic[pair[:, 1].astype(np.int64)] == 1
+    some = np.flatnonzero(alone[w.row])
+    token, row = f[0][some], w.row[some]
+    order = np.lexsort((row, token))
+    token, row = token[order], row[order]
+    once = np.ones(len(token), bool)  # a token counts once a document
+    once[1:] = (token[1:] != token[:-1]) | (row[1:] != row[:-1])
+    keys, at = np.unique(token[once], return_inverse=True)
+    hot = toxic[row[once]] == 1
     a, b = np.bincount(at, hot, len(keys)), np.bincount(at, ~hot, len(keys))
     P, N = (alone & (toxic == 1)).sum(), (alone & (toxic == 0)).sum()
     odds = np.log((a + 0.5) / (P - a + 0.5)) - np.log((b + 0.5) / (N - b + 0.5))
@@ -198,23 +217,42 @@ def _token_labels(f: np.ndarray, w: Words, toxic: np.ndarray) -> np.ndarray:
     return (np.isin(f[0], marked) & (toxic[w.row] == 1)).astype(float)
 
 
-def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int = 120, l2: float = 0.5) -> Model:
-    """The field and the logistic fit. ``weights``: of each document in the logistic fit."""
+def _steps_of(reset: np.ndarray, step_tokens: int) -> np.ndarray:
+    """Bounds of about equal parts of ``step_tokens`` tokens that begin where documents do."""
+    n, first = len(reset), np.flatnonzero(reset)
+    parts = max(1, round(n / step_tokens))
+    at = np.searchsorted(first, np.arange(1, parts) * n // parts)
+    return np.unique(np.concatenate([[0], first[at[at < len(first)]], [n]]))
+
+
+def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int = 120, l2: float = 0.5, step_tokens: int = 150_000) -> Model:
+    """The field and the logistic fit. ``weights``: of each document in the logistic fit. A
+    round follows the gradient of one part of the documents, which are shuffled, in turn."""
+    mixed = np.random.default_rng(7).permutation(len(texts))
+    texts, toxic, weights = [texts[i] for i in mixed], toxic[mixed], weights[mixed]
     w = split_words(pa.array(texts, pa.large_string()), lower=True, alnum=True)
-    f, reset = _features(w), _resets(w)
+    f, every_reset = _features(w), _resets(w)
     y = _token_labels(f, w, toxic)
     # documents that hold marked tokens, and as many others; toxic ones without are left out
     marked = np.bincount(w.row, y, len(texts)) > 0
     use = (marked | (toxic == 0))[w.row]
-    keys, at = np.unique(f[:, use], return_inverse=True)
-    at = at.reshape(3, -1)
-    y, reset = y[use], reset[use]
-    n = max(1, len(y))
+    words, own = np.unique(f[0][use], return_inverse=True)
+    del f
+    nothing, reset = len(words), every_reset[use]  # before the first and after the last word
+    every = np.empty((3, len(own)), np.int32)
+    every[0] = own
+    every[1] = np.where(reset, nothing, np.roll(own, 1)) + nothing + 1
+    every[2] = np.where(np.roll(reset, -1), nothing, np.roll(own, -1)) + 2 * (nothing + 1)
+    keys = _feature_keys(np.append(words, U(0)))
+    every_y, every_reset = y[use], reset
+    n = max(1, len(every_y))
     theta = np.zeros(len(keys) + 7)  # features, bias, start 2, trans 4
     theta[len(keys)] = -2.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    prev_y = np.concatenate([[0], y[:-1]])
-    for i in range(rounds if len(y) else 0):
+    bounds = _steps_of(every_reset, step_tokens)
+    for i in range(rounds if len(every_y) else 0):
+        part = slice(*bounds[i % (len(bounds) - 1) :][:2])
+        at, y, reset = every[:, part], every_y[part], every_reset[part]
         wt, bias, start, trans = theta[: len(keys)], theta[len(keys)], theta[-6:-4], theta[-4:].reshape(2, 2)
         e = wt[at].sum(0) + bias
         a, b = forward_backward(e, reset, start, trans)
@@ -230,15 +268,21 @@ def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int =
         k = np.array(_steps(e[inner], np.zeros(len(inner), bool), start, trans))
         joint = np.array([[a[inner - 1, s] * k[s, t] * b[inner, t] for t in (0, 1)] for s in (0, 1)])
         joint /= joint.sum((0, 1))
-        seen = [[((prev_y[inner] == s) & (y[inner] == t)).sum() for t in (0, 1)] for s in (0, 1)]
+        seen = [[((y[inner - 1] == s) & (y[inner] == t)).sum() for t in (0, 1)] for s in (0, 1)]
         g[-4:] = (joint.sum(2) - np.array(seen)).ravel()
-        g = (g + l2 * theta) / n
+        g = g / len(y) + l2 * theta / n
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        theta -= 0.15 * (m / (1 - 0.9 ** (i + 1))) / (np.sqrt(v / (1 - 0.99 ** (i + 1))) + 1e-9)
+        rate = 0.15 * min(1.0, 2 * (1 - i / rounds))
+        theta -= rate * (m / (1 - 0.9 ** (i + 1))) / (np.sqrt(v / (1 - 0.99 ** (i + 1))) + 1e-9)
+    del every
     keep = np.abs(theta[: len(keys)]) > 0.3
     model = Model(_Weights(keys[keep], theta[: len(keys)][keep]), float(theta[len(keys)]), theta[-6:-4].copy(), theta[-4:].reshape(2, 2).copy(), np.zeros(3))
-    p = marginals(model.emissions(w), _resets(w), model.start, model.trans)
-    x, t = _pooled(p, w), (toxic == 1).astype(float)
+    del w, every_y, every_reset, use, marked
+    x, t = [np.zeros((0, 3))], (toxic == 1).astype(float)
+    for k in range(0, len(texts), 256):
+        w = split_words(pa.array(texts[k : k + 256], pa.large_string()), lower=True, alnum=True)
+        x.append(_pooled(marginals(model.emissions(w), _resets(w), model.start, model.trans), w))
+    x = np.concatenate(x)
     c = np.zeros(3)
     for _ in range(40):  # Newton steps with a small ridge
         q = 1 / (1 + np.exp(-x @ c))
@@ -249,7 +293,7 @@ def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int =
 
 
 def train(
-    df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 3000, most_chars: int = 20_000
+    df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 2000, most_chars: int = 20_000
 ) -> Model | None:
     """A model from at most ``per_class`` documents of each label, outside the held-out fold,
     of at most ``most_chars`` characters each (longer texts are scored, not learned from).
