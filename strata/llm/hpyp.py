@@ -2,8 +2,10 @@
 
 Every token is a customer of the restaurant of its context, a hash of the word before it to one
 of ``CONTEXTS``; all context restaurants share the root as their parent, whose base is uniform
-over the known words and one unknown. Seatings are sampled by Gibbs moves: a random customer of
-each dish stands up and is seated anew. Predictive probabilities are averaged over samples.
+over the known words and one unknown. In a sweep all customers of each dish, in the contexts and
+at the root, stand up and are seated anew: the number of a dish's tables is drawn exactly, given
+what restaurants share, so no seat is left over from the start. Predictive probabilities are
+averaged over samples.
 
 Spark deals tokens by word, packed in arrays: a bucket holds all that is said about its words in
 every context, so a dish's tables and the root's are local. What restaurants share (their
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +30,7 @@ from strata.llm.words import U, mix, pieces_of, span_hash, split_words
 
 CONTEXTS, CHUNKS = 1 << 16, 16
 BUCKET_BYTES, HELD_TOKENS, HELD_DOCS = 10 << 20, 1_500_000, 30_000
+EXACT, DRAWN = 512, 500_000  # customers of a dish by table, customers drawn for at a time
 _END, _START, _HELD_OUT = U(0x0E0D), U(0x57A7), 0x8000
 _FIELDS = ("words", "pairs", "ctx", "count", "posts", "part", "doc")
 _TYPES = ("<u8", "<u4", "<u2", "<u4", "<u4", "<u4", "<u2")
@@ -197,6 +201,93 @@ def _gibbs(c: np.ndarray, dish: np.ndarray, size: np.ndarray, new_weight: np.nda
     return dish, size
 
 
+@lru_cache(4)
+def _log_stirling(discount: float) -> np.ndarray:
+    """Logs of the generalised Stirling numbers of up to ``EXACT`` customers at t tables."""
+    out = np.full((EXACT + 1, EXACT + 1), -np.inf)
+    out[1, 1] = 0.0
+    for c in range(1, EXACT):
+        t = np.arange(1, c + 1)
+        stay = np.log(c - discount * t) + out[c, 1 : c + 1]
+        out[c + 1, 1 : c + 1] = np.logaddexp(out[c, :c], stay)
+        out[c + 1, c + 1] = 0.0
+    return out
+
+
+def _root_of(f, low: np.ndarray) -> np.ndarray:
+    """Where the falling ``f`` of log u passes 0 between ``low`` and 0 (an end if it doesn't)."""
+    high = np.zeros_like(low)
+    for _ in range(60):
+        mid = (low + high) / 2
+        up = f(mid) > 0
+        low, high = np.where(up, mid, low), np.where(up, high, mid)
+    return (low + high) / 2
+
+
+def _log_tables(c: int, t: np.ndarray, discount: float) -> np.ndarray:
+    """Log of the generalised Stirling number of c customers at t tables, times t! discount**t / c!:
+    the coefficient of z**c in (1 - (1 - z)**discount)**t, by Cauchy's integral over a parabola
+    u = 1 - z through the saddle point (or 1 / c if that lies closer to the branch at 0)."""
+    d, t = discount, t.astype(float)
+
+    def slope(x):
+        return np.log(t * d / (c + 1)) + (d - 1) * x - np.log(-np.expm1(d * x)) + np.log(-np.expm1(x))
+
+    with np.errstate(divide="ignore", invalid="ignore"):
+        m = np.exp(_root_of(slope, np.full(len(t), -math.log(c + 1.0))))
+    m = np.minimum(m, 1 - 1e-9)
+    pole = 1 - m**d
+    first = (c + 1) / (1 - m) - t * d * m ** (d - 1) / pole
+    second = (c + 1) / (1 - m) ** 2 + t * (d * (1 - d) * m ** (d - 2) / pole - (d * m ** (d - 1) / pole) ** 2)
+    wide = 1 / np.sqrt(2 * np.maximum(first * m + 2 * second * m * m, 1e-300))
+    top = t * np.log(pole) - (c + 1) * np.log1p(-m)
+    h, total = 0.1, np.zeros(len(t))
+    for k in range(121):
+        a = 1 + 1j * wide * (k * h)
+        u = m * a * a
+        f = np.exp(t * np.log(1 - u**d) - (c + 1) * np.log(1 - u) - top)
+        total += (0.5 if k == 0 else 1.0) * (a * f).real
+    out = top + np.log(np.maximum(total * 2 * h * wide * m / np.pi, 1e-300))
+    return np.where(t == c, c * math.log(d), out)
+
+
+def _draw_many(c: int, w: float, discount: float, u: float) -> int:
+    """Tables of a dish of more than ``EXACT`` customers; the numbers that are left out lie
+    twelve deviations off."""
+    d = discount
+    x = _root_of(lambda x: np.log(w / c) + np.log(-np.expm1(x)) + (d - 1) * x, np.array([-700.0]))[0]
+    mean = -w * math.expm1(d * x) / d
+    far = 12 * math.sqrt(mean) + 40
+    t = np.arange(max(1, int(mean - far)), min(c, int(mean + far)) + 1)
+    p = t * math.log(w / d) - np.cumsum(np.log(t)) + _log_tables(c, t, d)
+    upto = np.cumsum(np.exp(p - p.max()))
+    return int(t[min(np.searchsorted(upto, u * upto[-1], "right"), len(t) - 1)])
+
+
+def table_counts(c: np.ndarray, new_weight: np.ndarray, discount: float, rng) -> np.ndarray:
+    """Numbers of tables of dishes of c customers (one at least) who are all seated anew, where
+    a new table has the weight ``new_weight`` and a table of n the weight n - discount: t has the
+    odds ``new_weight``**t times the generalised Stirling number of (c, t)."""
+    out, u, logs = np.ones(len(c), np.int64), rng.random(len(c)), _log_stirling(discount)
+    for i in np.flatnonzero(c > EXACT).tolist():
+        out[i] = _draw_many(int(c[i]), float(new_weight[i]), discount, float(u[i]))
+    few = np.flatnonzero((c > 1) & (c <= EXACT))
+    upto = np.cumsum(c[few])
+    for part in np.split(few, np.unique(np.searchsorted(upto, np.arange(DRAWN, upto[-1], DRAWN)))) if len(few) else []:
+        if not len(part):
+            continue
+        n = c[part]
+        first = np.cumsum(n) - n
+        dish = np.repeat(np.arange(len(n)), n)
+        t = np.arange(len(dish)) - first[dish] + 1
+        p = logs[n[dish], t] + t * np.log(new_weight[part])[dish]
+        p = np.cumsum(np.exp(p - np.maximum.reduceat(p, first)[dish]))
+        below = np.concatenate([[0.0], p])[first]
+        at = np.searchsorted(p, below + u[part] * (p[first + n - 1] - below), "right")
+        out[part] = np.clip(at - first, 0, n - 1) + 1
+    return out
+
+
 class Seating:
     """A bucket's dishes: pairs of word and context, and the words at the root."""
 
@@ -207,7 +298,7 @@ class Seating:
         self.train = np.bincount(self.word, self.count, len(self.words))
         self.tables = np.minimum(self.count, 1)
         self.many = np.flatnonzero(self.count > 1)
-        self.seats = None
+        self.root_tables = None
 
     def root(self) -> np.ndarray:
         """Customers of each word at the root: the tables of its pairs."""
@@ -218,26 +309,21 @@ class Seating:
         new = (s.strength + s.root_discount * s.root_tables) / (s.known + 1)
         return (held + new) / (s.strength + s.root_customers)
 
-    def sweep(self, s: Shared, turn: int, moves: int = 8) -> None:
-        """One pass of Gibbs moves over the pairs, then over the root's words."""
+    def sweep(self, s: Shared, turn: int) -> None:
+        """All customers of the pairs are seated anew, then all of the root's words."""
         rng = np.random.default_rng([turn, self.bucket])
         c = self.count[self.many]
-        if self.seats is None:
-            self.seats = _spread(c, _first_tables(c, s.discount))
-            self.tables[self.many] = np.bincount(self.seats[0], minlength=len(c))
+        if self.root_tables is None:
+            self.tables[self.many] = _first_tables(c, s.discount)
             self.root_tables = _first_tables(self.root(), s.root_discount)
         p = self.root_prob(s, self.root_tables)
-        ctx = self.ctx[self.many]
-        new = (s.strength + s.discount * s.tables[ctx]) * p[self.word[self.many]]
-        self.seats = _gibbs(c, *self.seats, new, s.discount, moves, rng)
-        self.tables[self.many] = np.bincount(self.seats[0], minlength=len(c))
+        new = (s.strength + s.discount * s.tables[self.ctx[self.many]]) * p[self.word[self.many]]
+        self.tables[self.many] = table_counts(c, new, s.discount, rng)
         r = self.root()
         some = np.flatnonzero(r > 0)
         weight = np.full(len(some), (s.strength + s.root_discount * s.root_tables) / (s.known + 1))
-        seats = _spread(r[some], _first_tables(r[some], s.root_discount))
-        seats = _gibbs(r[some], *seats, weight, s.root_discount, moves, rng)
         self.root_tables = np.zeros(len(r), np.int64)
-        self.root_tables[some] = np.bincount(seats[0], minlength=len(some))
+        self.root_tables[some] = table_counts(r[some], weight, s.root_discount, rng)
 
     def predict(self, s: Shared) -> np.ndarray:
         """Probability of each pair's word in its context."""

@@ -176,6 +176,41 @@ def test_gibbs_keeps_customers():
     assert (np.bincount(dish, size) == c).all() and (size > 0).all()
 
 
+def _stirling_odds(c, w, discount):
+    """Probabilities of 1 to c tables, by the recursion over customers."""
+    p = np.zeros(c + 1)
+    p[1] = 1.0
+    for n in range(1, c):
+        t = np.arange(1, n + 1)
+        p[1 : n + 2] = np.append(p[1 : n + 1] * (n - discount * t), 0) + np.append(0, p[1 : n + 1] * w)
+        p /= p.sum()
+    return p[1:]
+
+
+def test_table_counts_follow_their_odds():
+    rng = np.random.default_rng(3)
+    for c, w, discount in ((2, 0.5, 0.6), (40, 3.0, 0.7), (hpyp.EXACT + 300, 2.0, 0.8), (hpyp.EXACT + 300, 200.0, 0.4)):
+        odds, n = _stirling_odds(c, w, discount), 400
+        t = np.arange(1, c + 1)
+        mean, sd = (odds * t).sum(), math.sqrt((odds * t * t).sum() - (odds * t).sum() ** 2)
+        got = hpyp.table_counts(np.full(n, c), np.full(n, w), discount, rng)
+        assert got.min() >= 1 and got.max() <= c and abs(got.mean() - mean) < 4 * sd / math.sqrt(n) + 1e-9
+
+
+def test_sweep_reseats_every_customer_of_large_dishes():
+    n, c = 200, 5000  # a word seen c times in each of n contexts
+    columns = ([7], [n], np.arange(n), np.full(n, c), np.ones(n), [], [])
+    row = {f: hpyp._pack(np.array(x).astype(k)) for f, k, x in zip(hpyp._FIELDS, hpyp._TYPES, columns, strict=True)}
+    seat = hpyp.Seating(row | {"bucket": 0})
+    shared = hpyp.Shared(np.full(hpyp.CONTEXTS, c), np.ones(hpyp.CONTEXTS), 1, n * c, 1_000_000, 1, 0.8, 0.5)
+    seat.sweep(shared, 0)
+    start = hpyp._first_tables(np.array([c]), 0.8)[0]
+    assert seat.tables.mean() < start / 50 and len(set(seat.tables.tolist())) > 1  # 1 + w / discount on average
+    before = seat.root_tables.copy()
+    seat.sweep(shared, 1)
+    assert seat.root().sum() == seat.tables.sum() and (before > 0).all() and (seat.root_tables <= seat.root()).all()
+
+
 def test_imatch(docs, local):
     p = imatch.fingerprints(docs).toPandas().sort_values("doc_id").reset_index(drop=True)
     for i, t in enumerate(local.text):
