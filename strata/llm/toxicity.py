@@ -225,9 +225,10 @@ def _steps_of(reset: np.ndarray, step_tokens: int) -> np.ndarray:
     return np.unique(np.concatenate([[0], first[at[at < len(first)]], [n]]))
 
 
-def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int = 120, l2: float = 0.5, step_tokens: int = 150_000) -> Model:
+def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, passes: int = 120, l2: float = 0.5, step_tokens: int = 150_000) -> Model:
     """The field and the logistic fit. ``weights``: of each document in the logistic fit. A
-    round follows the gradient of one part of the documents, which are shuffled, in turn."""
+    round follows the gradient of one part of the documents, which are shuffled, in turn;
+    every document is in ``passes`` rounds, however many parts there are."""
     mixed = np.random.default_rng(7).permutation(len(texts))
     texts, toxic, weights = [texts[i] for i in mixed], toxic[mixed], weights[mixed]
     w = split_words(pa.array(texts, pa.large_string()), lower=True, alnum=True)
@@ -250,6 +251,7 @@ def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int =
     theta[len(keys)] = -2.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     bounds = _steps_of(every_reset, step_tokens)
+    rounds = passes * (len(bounds) - 1)
     for i in range(rounds if len(every_y) else 0):
         part = slice(*bounds[i % (len(bounds) - 1) :][:2])
         at, y, reset = every[:, part], every_y[part], every_reset[part]
@@ -293,7 +295,7 @@ def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray, rounds: int =
 
 
 def train(
-    df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 2000, most_chars: int = 20_000
+    df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 3000, most_chars: int = 20_000
 ) -> Model | None:
     """A model from at most ``per_class`` documents of each label, outside the held-out fold,
     of at most ``most_chars`` characters each (longer texts are scored, not learned from).

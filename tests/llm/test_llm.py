@@ -1,6 +1,7 @@
 """Operators against brute force, and their defined results on odd rows."""
 
 import hashlib
+import inspect
 import math
 import re
 import zlib
@@ -306,6 +307,22 @@ def test_toxicity(spark):
     assert toxicity.keep_clean(df, model).count() == int((p.predicted == 0).sum())
 
 
+def test_every_part_of_the_sample_is_trained_in_every_pass(monkeypatch):
+    seen, forward_backward = [], toxicity.forward_backward
+    monkeypatch.setattr(toxicity, "forward_backward", lambda e, *a: (seen.append(len(e)), forward_backward(e, *a))[1])
+    texts = [f"w{i % 50} w{i % 7} " + ("vile" if i % 4 == 0 else "mild") for i in range(400)]
+    n = 1200
+    for step_tokens, parts in ((n, 1), (n // 6, 6)):
+        seen.clear()
+        toxicity.fit(texts, np.array([int(i % 4 == 0) for i in range(400)]), np.ones(400), passes=5, step_tokens=step_tokens)
+        trained = seen[: 5 * parts]  # scoring follows
+        assert sum(trained) == 5 * n and max(trained) < 2 * n // parts
+
+
+def test_sample_of_the_field_is_not_cut():
+    assert inspect.signature(toxicity.train).parameters["per_class"].default == 3000
+
+
 def test_odd_rows_and_empty_tables(odd):
     """Nulls in any column, empty and very long texts, ties, repeated rows, clashing columns."""
     net = langid.fit(["ab ba " * 20, "xy yx " * 20], ["p", "q"], steps=2)
