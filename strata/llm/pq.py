@@ -4,8 +4,9 @@ Equal vectors are one point. Points are normalised and dealt to the list of thei
 coarse centroid, with a residual coded in sub-spaces. A point probes every other list that can
 hold a neighbour: one whose bisector with its own list is within the search radius, which loses
 none. In a list, table look-up distances to the codes select candidates, with each code's own
-error as slack, so that again none is lost; cosines in double precision decide. Lists of many
-points are split into blocks, and a block returns counts and a spanning forest, not pairs.
+error as slack, so that again none is lost; cosines in double precision decide. The
+points of a list and those that probe it are both split into blocks; a pair of blocks returns
+counts and a spanning forest, not pairs.
 """
 
 from __future__ import annotations
@@ -78,11 +79,15 @@ def fit(points: DataFrame, n: int, sample: int = 20_000, seed: int = 3) -> Index
     return i
 
 
-def links(points: DataFrame, index: Index | None, least: float) -> DataFrame:
-    """(kind, a, b) over points (point, label, dim, vector, n): kind 0: point a links with b
-    rows of other points; kind 1: an edge of a spanning forest of the links."""
+def dealt(points: DataFrame, index: Index | None, radius: float) -> DataFrame:
+    """Points (point, label, dim, vector, n) dealt to the groups (label, dim, list, block, part)
+    that find all pairs within ``radius``: an index block of a list and one block of queries.
+
+    Part s < block asks with the points of block s of the list, part s = block has no queries and
+    is searched in itself, and parts from the number of blocks on ask with the points of other
+    lists that probe this one. So a group holds about ``BLOCK`` index rows and ``BLOCK`` queries.
+    """
     spark = points.sparkSession
-    radius = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-7
     held = spark.sparkContext.broadcast(index)
     shape = "point long, label string, dim int, n long, vector array<float>"
 
@@ -106,16 +111,30 @@ def links(points: DataFrame, index: Index | None, least: float) -> DataFrame:
 
     rows = points.select("point", F.col("label").cast("string").alias("label"), "dim", "n", "vector")
     rows = stored(rows.mapInArrow(assign, f"{shape}, list long, probes array<long>"), "pq-points")
-    sizes = rows.groupBy("label", "dim", "list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    key = ["label", "dim", "list"]
+    other = rows.withColumn("list", F.explode("probes"))
+    asks = other.groupBy(key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("asks"))
+    sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = sizes.join(asks, key, "left").withColumn("asks", F.coalesce("asks", F.lit(0)))
     sizes = stored(sizes, "pq-lists")
-    own = rows.join(sizes, ["label", "dim", "list"]).withColumn("block", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
-    keep = ["label", "dim", "list", "block", "query", "point", "n", "vector"]
-    index_rows = own.withColumn("query", F.lit(False)).select(keep)
-    same = own.filter("block + 1 < blocks").withColumn("block", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
-    other = rows.withColumn("list", F.explode("probes")).join(sizes, ["label", "dim", "list"])
+    own = rows.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
+    keep = [*key, "block", "part", "query", "point", "n", "vector"]
+    before = F.sequence(F.lit(0), F.col("block"))
+    probing = F.when(F.col("asks") > 0, F.sequence(F.col("blocks"), F.col("blocks") + F.col("asks") - 1)).otherwise(F.array().cast("array<int>"))
+    index_rows = own.withColumn("part", F.explode(F.concat(before, probing))).withColumn("query", F.lit(False)).select(keep)
+    same = own.filter("block + 1 < blocks").withColumn("part", F.col("block"))
+    same = same.withColumn("block", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
+    other = other.join(sizes, key).withColumn("part", (F.col("blocks") + F.pmod(F.xxhash64("point"), F.col("asks"))).cast("int"))
     other = other.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    queries = same.select("label", "dim", "list", "block", "point", "n", "vector").unionAll(other.select("label", "dim", "list", "block", "point", "n", "vector"))
-    queries = queries.withColumn("query", F.lit(True)).select(keep)
+    ask = [*key, "block", "part", F.lit(True).alias("query"), "point", "n", "vector"]
+    return index_rows.unionAll(same.select(ask)).unionAll(other.select(ask))
+
+
+def links(points: DataFrame, index: Index | None, least: float) -> DataFrame:
+    """(kind, a, b) over points (point, label, dim, vector, n): kind 0: point a links with b
+    rows of other points; kind 1: an edge of a spanning forest of the links."""
+    radius = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-7
+    held = points.sparkSession.sparkContext.broadcast(index)
 
     def search(table):
         ix = held.value
@@ -129,8 +148,10 @@ def links(points: DataFrame, index: Index | None, least: float) -> DataFrame:
         if coded:
             c = ix.coarse[table.column("list")[0].as_py()]
             codes, err = ix.encode(x[at] - c)
-        for lo in range(0, len(point), 256):
-            q = np.arange(lo, min(lo + 256, len(point)))
+        alone = table.column("part")[0].as_py() == table.column("block")[0].as_py()
+        asking = at if alone else np.flatnonzero(ask)
+        for lo in range(0, len(asking), 256):
+            q = asking[lo : lo + 256]
             if coded:  # distance to a code, from tables per sub-space
                 far = np.zeros((len(q), len(at)))
                 for p, part in enumerate(np.split(x[q] - c, PARTS, 1)):
@@ -153,7 +174,7 @@ def links(points: DataFrame, index: Index | None, least: float) -> DataFrame:
         kind = np.concatenate([np.zeros(len(some), np.int32), np.ones(len(child), np.int32)])
         return pa.table([pa.array(kind), pa.array(np.concatenate([point[some], point[child]])), pa.array(np.concatenate([count[some], point[root]]))], ["kind", "a", "b"])
 
-    return index_rows.unionAll(queries).groupBy("label", "dim", "list", "block").applyInArrow(search, "kind int, a long, b long")
+    return dealt(points, index, radius).groupBy("label", "dim", "list", "block", "part").applyInArrow(search, "kind int, a long, b long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.98) -> DataFrame:

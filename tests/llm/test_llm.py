@@ -156,6 +156,24 @@ def test_product_quantisation(spark):
     assert p.n_links.loc[[1000, 1001, 1002, 1003]].tolist() == [0] * 4 and p.component_id[1005] == 1004
 
 
+def test_blocks_of_queries_are_bounded(spark, monkeypatch):
+    """A tight cluster, where every list probes every later one: results, and rows of a group."""
+    monkeypatch.setattr(pq, "BLOCK", 25)
+    rng = np.random.default_rng(8)
+    x = (np.ones(16) + 0.15 * rng.standard_normal((400, 16))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = u @ u.T >= 0.98
+    np.fill_diagonal(near, False)
+    f = Forest(400)
+    f.link(*np.nonzero(near))
+    p = pq.near_duplicates(df).toPandas().set_index("vec_id").loc[list(range(400))]
+    assert p.n_links.tolist() == near.sum(1).tolist() and p.component_id.tolist() == f.root.tolist()
+    points = df.selectExpr("vec_id point", "string(label) label", "size(embedding) dim", "embedding vector", "1L n").localCheckpoint()
+    rows = pq.dealt(points, pq.fit(points, 400), math.sqrt(0.04)).groupBy("label", "dim", "list", "block", "part", "query").count().toPandas()
+    assert rows[rows["query"]]["count"].sum() > 2000 and rows["count"].max() <= 2 * 25
+
+
 def test_language_model(docs, local):
     p = hpyp.score(docs).toPandas().sort_values("doc_id").reset_index(drop=True)
     toks = [[*WORD.findall((t or "").translate(LOW)), None] for t in local.text]
