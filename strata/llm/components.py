@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import stored
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b): the smallest node it can reach.
 
     Each round hangs a node's larger neighbours, then its smaller ones, under the least of
@@ -19,9 +19,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     e = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     mark = lambda d: tuple(d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     was = mark(e)
-    for _ in range(most_rounds):
-        if not was[0]:
-            break
+    while was[0]:
         both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -45,6 +45,12 @@ def test_components(spark):
     assert got == {n: int(f.root[n]) for a, b in e for n in (a, b) if a != b}
 
 
+def test_components_have_no_most_rounds(spark):
+    chain = spark.range(300).selectExpr("id a", "id + 1 b")
+    assert list(inspect.signature(components).parameters) == ["edges"]
+    assert {r.component for r in components(chain).collect()} == {0}
+
+
 def test_packing(spark, docs, local):
     from tokenizers import Tokenizer
 
