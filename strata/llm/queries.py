@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import hpyp, imatch, langid, mixing, packing, pii, pq, setjoin, superkmer, toxicity
+from strata.llm import hpyp, imatch, langid, merkle, mixing, packing, pii, pq, setjoin, superkmer, tokencount, toxicity, trie
 from strata.llm.common import table
 
 
@@ -53,6 +53,18 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hpyp.score(table(spark, sf_dir, "documents"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": _op1,
     "op2_toxicity": _op2,
@@ -64,7 +76,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": _op8,
     "op9_best_fit_packing": _op9,
     "op10_pitman_yor": _op10,
+    "op11_merkle_manifest": _op11,
+    "op12_token_counts": _op12,
+    "op13_prefix_trie": _op13,
 }
 
 #: DuckDB SQL where it can state a query's result.
-ORACLE: dict[str, str] = {"op3_substring_dedup": superkmer.ORACLE}
+ORACLE: dict[str, str] = {
+    "op3_substring_dedup": superkmer.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
+    "op13_prefix_trie": trie.ORACLE,
+}
