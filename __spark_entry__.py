@@ -9,6 +9,7 @@ same answers directly from the tables in DuckDB, reusing only the answer express
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -24,6 +25,7 @@ from strata.operators import clean as C  # noqa: E402
 from strata.operators import ingest as I  # noqa: E402
 from strata.operators import serve as S  # noqa: E402
 from strata.plans import compare, rdd_face, sql_face  # noqa: E402
+from strata.plans.pipeline import read_gold_by_approach, run_gold_by_approach  # noqa: E402
 from strata.schemas import (  # noqa: E402
     FACTORS,
     GOLD_COLUMNS,
@@ -31,20 +33,21 @@ from strata.schemas import (  # noqa: E402
     NULL_WORDS,
     PAIR,
     PANDAS_NULL_WORDS,
+    RAW_GROUPS,
     RAW_PATHS,
     SURVEY_COLUMNS,
 )
-from strata.sinks.writers import output_sizes  # noqa: E402
-from strata.sources.files import read_gold, read_silver_csv  # noqa: E402
+from strata.session import scratch_path  # noqa: E402
+from strata.sinks.writers import output_sizes, row_bytes, write_gold  # noqa: E402
+from strata.sources.files import CSV_OPTIONS, read_gold, read_silver_csv  # noqa: E402
 from strata.sources.jsonl import bronze, quarantine, read_lines  # noqa: E402
 
 # The language-model operators and the pipeline are optional: without their folders every
 # other query still works.
-try:
+corpus_pipeline = llm_queries = None
+if importlib.util.find_spec("strata.llm") and importlib.util.find_spec("corpus_pipeline"):
     import corpus_pipeline  # noqa: E402
     from strata.llm import queries as llm_queries  # noqa: E402
-except ImportError:
-    corpus_pipeline = llm_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 VIEW = "survey_gold"
@@ -74,16 +77,31 @@ def _gold(spark, sf) -> DataFrame:
     return read_gold(spark, _layers(spark, sf).gold["parquet"], "parquet")
 
 
-def _silver_by_name(spark, sf) -> DataFrame:
-    """Silver written as CSV with its columns in reverse order, read back by header."""
-    from strata.session import scratch_path
-    from strata.sources.files import CSV_OPTIONS
+def _bronze_written(spark, sf) -> DataFrame:
+    """Bronze as written (Parquet): the raw lines are parsed once, by the pipeline."""
+    return spark.read.parquet(_layers(spark, sf).bronze)
+
+
+def _answers(spark, sf) -> DataFrame:
+    """The flat records of Bronze with missing-value words as nulls: keys and flags have gaps."""
+    return C.normalize_missing(C.drop_metadata(I.flatten(_bronze_written(spark, sf))))
 
-    silver, out = _silver(spark, sf), scratch_path(spark, "silver-reversed")
+
+def _reversed_csv(spark, df, name) -> str:
+    """``df`` written as CSV with its columns in reverse order."""
+    out = scratch_path(spark, name)
     text = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
-    silver.select(silver.columns[::-1]).write.options(**text, quoteAll="true", ignoreLeadingWhiteSpace="false",
-                                                      ignoreTrailingWhiteSpace="false").csv(out)
-    return read_silver_csv(spark, out).select(*SILVER_OUT)
+    df.select(df.columns[::-1]).write.options(**text, quoteAll="true", ignoreLeadingWhiteSpace="false",
+                                              ignoreTrailingWhiteSpace="false").csv(out)
+    return out
+
+
+def _silver_by_name(spark, sf) -> DataFrame:
+    return read_silver_csv(spark, _reversed_csv(spark, _silver(spark, sf), "silver-reversed")).select(*SILVER_OUT)
+
+
+def _gold_csv_by_name(spark, sf) -> DataFrame:
+    return read_gold(spark, _reversed_csv(spark, _gold(spark, sf), "gold-reversed"), "csv")
 
 
 # ----------------------------------------------------------------------------- entry
@@ -110,7 +128,7 @@ def _ingest_parse(spark, sf):
 
 
 def _ingest_quarantine(spark, sf):
-    return quarantine(_bronze(spark, sf)).groupBy("_status").agg(
+    return quarantine(_bronze_written(spark, sf)).groupBy("_status").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count("_raw_data").alias("n_with_text")
     )
 
@@ -131,6 +149,61 @@ def _merge_whole_table_mismatch(spark, sf):
     return C.merge_pair(df, policy="whole_table")
 
 
+def _merge_in_plan(spark, sf, agree):
+    df = C.drop_missing(C.drop_metadata(_silver(spark, sf)))
+    if agree:
+        df = df.withColumn(PAIR[1], F.col(PAIR[0]))
+    return C.merge_pair(df, policy="whole_table_in_plan")
+
+
+def _by_approach(spark, sf) -> DataFrame:
+    """Gold of the three approaches, written to their folders and read back as one table."""
+    root = scratch_path(spark, "gold-approaches")
+    run_gold_by_approach(spark, _layers(spark, sf).silver, root, formats=("parquet",))
+    return read_gold_by_approach(spark, root)
+
+
+def _by_approach_pruned(spark, sf):
+    one = _by_approach(spark, sf).filter("approach = 'spark_df'")
+    return S.rate_by_group(one, "Country", "MentalHealthHistory").withColumn("approach", F.lit("spark_df"))
+
+
+SMALL_TASK = 1 << 20  # text a task may write in the queries of the sinks
+
+
+def _text_sink(spark, sf):
+    """Gold as text in tasks of at most about SMALL_TASK bytes: rows read back, and whether no
+    file is larger (a quarter is left for quoting, which the plan doesn't count)."""
+    paths = write_gold(spark, _gold(spark, sf), scratch_path(spark, "gold-text"), ("csv", "json"), task_bytes=SMALL_TASK)
+    parts = []
+    for fmt, path in paths.items():
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length")
+        rows = read_gold(spark, path, fmt).agg(F.count(F.lit(1)).alias("n_rows"))
+        most = files.agg(F.max("length")).scalar()
+        parts.append(rows.select(F.lit(fmt).alias("format"), "n_rows", (most <= SMALL_TASK * 5 // 4).alias("bounded")))
+    return parts[0].unionAll(parts[1])
+
+
+def _row_bytes(spark, sf):
+    paths = _layers(spark, sf).gold
+    return row_bytes(spark, {f: paths[f] for f in ("csv", "json")})
+
+
+def _face_rules_difference(spark, sf):
+    """A rate by the DataFrame rule against the RDD rule for a missing flag."""
+    answers = _answers(spark, sf)
+    rates = [S.rate_by_group(answers, "Occupation", "CareOptions", missing_flag=m, drop_null_key=True) for m in ("drop", "as_no")]
+    return compare.differing_rows(*rates)
+
+
+def _ingest_times(spark, sf):
+    """The ingestion time of a batch: one value, set when it ran."""
+    return _bronze_written(spark, sf).agg(
+        F.countDistinct("_ingestion_timestamp").alias("n_times"),
+        F.min(F.col("_ingestion_timestamp").between(1.6e9, F.unix_micros(F.current_timestamp()) / 1e6)).alias("in_past"),
+        F.countDistinct("_source").alias("n_sources"))
+
+
 def _share_map(spark, sf):
     m = S.share_map(_gold(spark, sf), "Country", "IncreasingStress")
     return m.select("Country", "total", F.explode("shares").alias("IncreasingStress", "prop"))
@@ -155,7 +228,6 @@ def _output_sizes(spark, sf):
 
 
 def _bronze_stream(spark, sf):
-    from strata.session import scratch_path
     from strata.streaming import start_bronze_stream
 
     out = scratch_path(spark, "bronze-stream")
@@ -176,9 +248,11 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # Bronze
         "raw_lines": _raw_lines,
         "ingest_parse": _ingest_parse,
-        "ingest_status_counts": lambda s, d: I.status_counts(_bronze(s, d)),
+        "ingest_status_counts": lambda s, d: I.status_counts(_bronze_written(s, d)),
         "ingest_quarantine": _ingest_quarantine,
-        "ingest_shape": lambda s, d: I.shape(I.flatten(_bronze(s, d))),
+        "ingest_quarantine_text": lambda s, d: quarantine(_bronze_written(s, d)).select("_status", "_raw_data"),
+        "ingest_times": _ingest_times,
+        "ingest_shape": lambda s, d: I.shape(I.flatten(_bronze_written(s, d))),
         "bronze_stream_status_counts": _bronze_stream,
         # Silver
         "silver_flatten": lambda s, d: I.flatten(_bronze(s, d)).select(*SILVER_OUT),
@@ -188,7 +262,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # cleaning rules
         "clean_drop_null": lambda s, d: C.drop_missing(C.drop_metadata(_silver(s, d))),
         "clean_drop_null_pandas": lambda s, d: C.drop_missing(C.drop_metadata(_silver(s, d)), nulls="pandas"),
-        "normalize_missing": lambda s, d: C.normalize_missing(C.drop_metadata(I.flatten(_bronze(s, d)))),
+        "normalize_missing": lambda s, d: C.normalize_missing(C.drop_metadata(I.flatten(_bronze_written(s, d)))),
         "clean_title_case": lambda s, d: C.apply_case(C.drop_missing(C.drop_metadata(_silver(s, d))), "title"),
         "clean_capitalize_first": lambda s, d: C.apply_case(
             C.drop_missing(C.drop_metadata(_silver(s, d))), "first"),
@@ -197,6 +271,8 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             C.drop_missing(C.drop_metadata(_silver(s, d))), policy="null_on_mismatch"),
         "merge_whole_table": _merge_whole_table,
         "merge_whole_table_mismatch": _merge_whole_table_mismatch,
+        "merge_whole_table_in_plan": lambda s, d: _merge_in_plan(s, d, True),
+        "merge_whole_table_in_plan_mismatch": lambda s, d: _merge_in_plan(s, d, False),
         "drop_metadata": lambda s, d: C.drop_metadata(_silver(s, d)),
         "clean_dedup": lambda s, d: C.clean(_silver(s, d), dedup_rows=True),
         "clean_row_counts": lambda s, d: C.clean_counts(_silver(s, d)),
@@ -207,8 +283,13 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_roundtrip_parquet": lambda s, d: read_gold(s, _layers(s, d).gold["parquet"], "parquet"),
         "gold_roundtrip_csv": lambda s, d: read_gold(s, _layers(s, d).gold["csv"], "csv"),
         "gold_roundtrip_json": lambda s, d: read_gold(s, _layers(s, d).gold["json"], "json"),
+        "gold_csv_by_name": _gold_csv_by_name,
+        "gold_by_approach": _by_approach,
+        "gold_by_approach_pruned": _by_approach_pruned,
+        "text_sink_bounds": _text_sink,
         "output_sizes": _output_sizes,
-        "sample_rows": lambda s, d: S.sample_rows(_gold(s, d), 0.1, seed=42),
+        "output_row_bytes": _row_bytes,
+        "sample_rows": lambda s, d: S.hash_sample(_gold(s, d), 0.1, seed=42),
         # serving
         "top_category_per_factor": lambda s, d: S.top_category(_gold(s, d)),
         "top_category_per_factor_sql": lambda s, d: _sql(s, d, sql_face.top_category_sql(VIEW)),
@@ -226,7 +307,21 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rate_by_group_two_filters": lambda s, d: S.rate_by_group(
             _gold(s, d), "Occupation", "SelfEmployed", drop_null_key=True),
         "rate_by_group_missing_as_no": lambda s, d: S.rate_by_group(
-            I.flatten(_bronze(s, d)), "Occupation", "SelfEmployed", missing_flag="as_no", drop_null_key=True),
+            I.flatten(_bronze_written(s, d)), "Occupation", "SelfEmployed", missing_flag="as_no", drop_null_key=True),
+        "rate_by_group_missing_as_no_country": lambda s, d: S.rate_by_group(
+            _answers(s, d), "Country", "MentalHealthHistory", trim=True, missing_flag="as_no", drop_null_key=True),
+        "rate_by_group_null_key": lambda s, d: S.rate_by_group(
+            _answers(s, d), "Occupation", "CareOptions", trim=True),
+        "share_within_group_null_key": lambda s, d: S.share_within(
+            _answers(s, d), "Occupation", "CareOptions"),
+        "share_within_group_drop_null_key": lambda s, d: S.share_within(
+            _answers(s, d), "Occupation", "CareOptions", drop_null_key=True),
+        "share_global_drop_null": lambda s, d: S.share_global(
+            _answers(s, d), "CareOptions", drop_null=True),
+        "share_within_group_decimal_sql": lambda s, d: _sql(
+            s, d, sql_face.share_within_sql(VIEW, "Country", "IncreasingStress", decimal=True)).withColumn(
+                "prop", F.col("prop").cast("string")),
+        "cached_answers": lambda s, d: S.cached_answers(_gold(s, d), scratch_path(s, "cached")),
         "one_scan_top_category": lambda s, d: S.answer_all(_gold(s, d))["A"],
         "one_scan_rate_by_factor": lambda s, d: S.answer_all(_gold(s, d))["A_rates"],
         "one_scan_share_within": lambda s, d: S.answer_all(_gold(s, d))["B"],
@@ -257,6 +352,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_rate_by_group_two_filters": lambda s, d: S.report_rates(
             S.rate_by_group(_gold(s, d), "Occupation", "SelfEmployed", drop_null_key=True), "Occupation"),
         "faces_agree": lambda s, d: compare.faces_agree(s, _gold(s, d), VIEW),
+        "face_rules_difference": _face_rules_difference,
     }
 
 
@@ -352,6 +448,52 @@ def _rate_by_group(key, flag, src="gold", extra=""):
     )
 
 
+# The raw text of a line that is not valid, put together from the answers: groups of the fields
+# that are not null, as JSON.
+def _json_groups() -> str:
+    names, groups = iter(SURVEY_COLUMNS), []
+    for g, fields in RAW_GROUPS.items():
+        parts = ", ".join(f"'\"{f}\":' || CAST(to_json({next(names)}) AS VARCHAR)" for f in fields)
+        groups.append(f"'\"{g}\":{{' || concat_ws(',', {parts}) || '}}'")
+    return "'{' || " + " || ',' || ".join(groups) + " || '}'"
+
+
+_RAW_TEXT = (
+    "CASE line_kind WHEN 'trailing_brace' THEN j || '}' WHEN 'single_quotes' THEN replace(j, '\"', chr(39)) "
+    "WHEN 'array' THEN '[' || j || ']' WHEN 'group_not_object' THEN '{\"person\":[' || CAST(to_json(Country) AS VARCHAR) || ']}' "
+    "ELSE j END"
+)
+
+
+def _csv_cell(c: str) -> str:
+    quoted = f"regexp_matches({c}, '[,\"\n\r]')"
+    return f"CASE WHEN {c} IS NULL THEN 0 WHEN {quoted} THEN strlen(replace({c}, '\"', '\"\"')) + 2 ELSE strlen({c}) END"
+
+
+def _json_cell(c: str) -> str:
+    return f"{len(c) + 4} + CASE WHEN {c} IS NULL THEN 4 ELSE strlen(CAST(to_json({c}) AS VARCHAR)) END"
+
+
+def _share(src: str, where: str = "") -> str:
+    return (
+        "SELECT Occupation, CareOptions, COUNT(*) AS count, "
+        + _ratio("COUNT(*)", "SUM(COUNT(*)) OVER (PARTITION BY Occupation)") + f" AS prop FROM {src} {where} GROUP BY Occupation, CareOptions"
+    )
+
+
+_ANSWERS = "(SELECT " + ", ".join(
+    f"CASE WHEN {c} IN ({_words(NULL_WORDS)}) THEN NULL ELSE {c} END AS {c}" for c in SURVEY_COLUMNS) + " FROM silver) n"
+_STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _trimmed_rate(key: str, flag: str, where: str) -> str:
+    yes = f"CASE WHEN lower(trim({flag}, {_STRIP})) = 'yes' THEN 1 ELSE 0 END"
+    return (
+        f"SELECT {key}, CAST(SUM({yes}) AS BIGINT) AS yes_count, COUNT(*) AS total_count, "
+        f"{_ratio(f'SUM({yes})', 'COUNT(*)')} AS prop FROM {_ANSWERS} WHERE {where} GROUP BY {key}"
+    )
+
+
 _SILVER_OUT = ", ".join(SILVER_OUT)
 _SURVEY = ", ".join(SURVEY_COLUMNS)
 _GOLD = ", ".join(GOLD_COLUMNS)
@@ -501,5 +643,56 @@ def _oracle_sql() -> dict[str, str]:
             "SELECT Occupation || ': ' || CAST(yes_count AS VARCHAR) || '/' || CAST(total_count AS VARCHAR) || ' (' "
             "|| printf('%.2f%%', prop * 100) || ')' AS line FROM ("
             + _rate_by_group("Occupation", "SelfEmployed", extra="AND Occupation IS NOT NULL") + ") t"),
+        "gold_csv_by_name": _with(f"SELECT {_GOLD} FROM gold"),
+        "merge_whole_table_in_plan": _with(
+            "SELECT " + ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" if c in PAIR else c for c in SURVEY_COLUMNS)
+            + f", {PAIR[0]} AS {MERGED} FROM complete"),
+        "merge_whole_table_in_plan_mismatch": _with(f"SELECT {_SURVEY}, CAST(NULL AS VARCHAR) AS {MERGED} FROM complete"),
+        "gold_by_approach": _with(
+            f"SELECT {keep_pair_cols}, CASE WHEN {PAIR[0]} = {PAIR[1]} THEN {PAIR[0]} END AS {MERGED}, 'rdd' AS approach FROM titled "
+            "UNION ALL SELECT " + ", ".join("NULL" if c in PAIR else c for c in SURVEY_COLUMNS)
+            + f", CASE WHEN {PAIR[0]} = {PAIR[1]} THEN {PAIR[0]} END, 'spark_df' FROM complete "
+            "UNION ALL SELECT " + ", ".join(_t(c) for c in SURVEY_COLUMNS)
+            + f", NULL, 'pandas' FROM silver_csv WHERE {_complete(PANDAS_NULL_WORDS)}"),
+        "gold_by_approach_pruned": _with(
+            f"SELECT *, 'spark_df' AS approach FROM ({_rate_by_group('Country', 'MentalHealthHistory', 'complete')}) r"),
+        "text_sink_bounds": _with(
+            "SELECT f AS format, (SELECT COUNT(*) FROM gold) AS n_rows, true AS bounded FROM (VALUES ('csv'), ('json')) v(f)"),
+        "output_row_bytes": _with(
+            "SELECT 'csv' AS format, CAST(SUM(" + " + ".join(_csv_cell(c) + " + 1" for c in GOLD_COLUMNS) + ") AS BIGINT) AS row_bytes FROM gold "
+            "UNION ALL SELECT 'json', CAST(SUM(2 + " + " + ".join(_json_cell(c) for c in GOLD_COLUMNS) + ") AS BIGINT) FROM gold"),
+        "sample_rows": _with(
+            f"SELECT {_GOLD} FROM gold WHERE CAST('0x' || sha256(concat_ws('|', '42', "
+            + ", ".join(f"coalesce('=' || {c}, '-')" for c in GOLD_COLUMNS) + "))[:8] AS BIGINT) < 429496729"),
+        "ingest_quarantine_text": _with(
+            f"SELECT expected_status AS _status, {_RAW_TEXT} AS _raw_data FROM (SELECT *, {_json_groups()} AS j FROM q) x "
+            "WHERE expected_status <> 'valid' AND line_kind <> 'blank'"),
+        "ingest_times": "SELECT CAST(1 AS BIGINT) AS n_times, true AS in_past, CAST(1 AS BIGINT) AS n_sources",
+        "rate_by_group_missing_as_no_country": _with(_trimmed_rate("Country", "MentalHealthHistory", "Country IS NOT NULL")),
+        "rate_by_group_null_key": _with(_trimmed_rate("Occupation", "CareOptions", "CareOptions IS NOT NULL")),
+        "share_within_group_null_key": _with(_share(_ANSWERS)),
+        "share_within_group_drop_null_key": _with(_share(_ANSWERS, "WHERE Occupation IS NOT NULL")),
+        "share_global_drop_null": _with(
+            "SELECT CareOptions, COUNT(*) AS count, " + _ratio("COUNT(*)", "SUM(COUNT(*)) OVER ()")
+            + f" AS prop FROM {_ANSWERS} WHERE CareOptions IS NOT NULL GROUP BY CareOptions"),
+        # decimal(38, 16), rounded half up, in whole numbers
+        "share_within_group_decimal_sql": _with(
+            "SELECT Country, IncreasingStress, count, CAST(n // 10000000000000000 AS VARCHAR) || '.' "
+            "|| lpad(CAST(n % 10000000000000000 AS VARCHAR), 16, '0') AS prop FROM (SELECT *, (CAST(count AS HUGEINT) * 20000000000000000 + total) "
+            "// (2 * total) AS n FROM (SELECT *, SUM(count) OVER (PARTITION BY Country) AS total FROM ("
+            + _SHARE_WITHIN + ") b) t) u"),
+        "cached_answers": _with(
+            f"SELECT 'A' AS question, factor AS key, category AS value, CAST(NULL AS BIGINT) AS n, prop FROM ({_TOP}) a "
+            f"UNION ALL SELECT 'B', Country, IncreasingStress, count, prop FROM ({_SHARE_WITHIN}) b "
+            f"UNION ALL SELECT 'C', IncreasingStress, NULL, count, prop FROM ({_SHARE_GLOBAL}) c "
+            f"UNION ALL SELECT 'D', Country, NULL, total_count, prop FROM ({_rate_by_group('Country', 'MentalHealthHistory')}) d "
+            "UNION ALL SELECT 'E', Occupation, NULL, total_count, prop FROM ("
+            + _rate_by_group("Occupation", "SelfEmployed", extra="AND Occupation IS NOT NULL") + ") e"),
+        "face_rules_difference": _with(
+            "SELECT Occupation, yes_count, total_count, prop, CAST(SUM(w) AS BIGINT) AS surplus FROM ("
+            "SELECT *, 1 AS w FROM (" + _rate_by_group("Occupation", "CareOptions", _ANSWERS, "AND Occupation IS NOT NULL") + ") a "
+            f"UNION ALL SELECT Occupation, CAST(SUM({_flag('CareOptions')}) AS BIGINT), COUNT(*), "
+            f"{_ratio(f"SUM({_flag('CareOptions')})", 'COUNT(*)')}, -1 FROM {_ANSWERS} WHERE Occupation IS NOT NULL GROUP BY Occupation) u "
+            "GROUP BY ALL HAVING SUM(w) <> 0"),
         "faces_agree": f"SELECT * FROM (VALUES {faces}) AS t(question, face, mismatches)",
     }

@@ -99,7 +99,7 @@ def main(argv=None) -> int:
     c.add_argument("--nulls", default="reference", choices=["reference", "pandas", "none"])
     c.add_argument("--case", default="title", choices=["title", "first", "none"])
     c.add_argument("--merge", default="null_on_mismatch",
-                   choices=["null_on_mismatch", "keep_pair", "whole_table", "none"])
+                   choices=["null_on_mismatch", "keep_pair", "whole_table", "whole_table_in_plan", "none"])
     c.add_argument("--dedup", action="store_true")
     c.add_argument("--partitions", type=int, default=None)
     c.set_defaults(fn=cmd_clean)

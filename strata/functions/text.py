@@ -133,11 +133,36 @@ def is_present(c: str | Column, words: Iterable[str]) -> Column:
     return c.isNotNull() & ~c.isin(words) if words else c.isNotNull()
 
 
-def percent_text(c: str | Column, decimals: int = 2) -> Column:
-    """A share as percent text, e.g. 0.25 -> '25.00%'."""
-    return F.format_string(f"%.{decimals}f%%", _col(c) * F.lit(100.0))
+_SPLIT = float(2**27 + 1)
 
 
 def fixed_text(c: str | Column, decimals: int = 2) -> Column:
-    """A number as fixed-point text, e.g. 0.25 -> '0.25'."""
-    return F.format_string(f"%.{decimals}f", _col(c))
+    """A number as fixed-point text, e.g. 0.25 -> '0.25', rounded from the exact binary value
+    and half to even, as Python and C print it: 0.125 -> '0.12', 2.675 -> '2.67'.
+
+    ``x * 10**decimals`` is taken as a double and its rounding error, which is exact when x is
+    split into halves of 26 bits; the pair is compared with the half-way point. Built-in
+    arithmetic on doubles only. From 2**52 / 10**decimals on, Spark's own text is used."""
+    if not 0 <= decimals <= 8:
+        raise ValueError("decimals must be between 0 and 8")
+    v, k = _col(c).cast("double"), float(10**decimals)
+    x = F.abs(v)
+    high = x * F.lit(_SPLIT) - (x * F.lit(_SPLIT) - x)
+    near = x * F.lit(k)
+    off = (high * F.lit(k) - near) + (x - high) * F.lit(k)  # x * k == near + off, exactly
+    low = F.floor(near).cast("double")
+    past = (near - low - F.lit(0.5)) + off  # its sign is exact
+    odd = F.pmod(low, F.lit(2.0)) == F.lit(1.0)
+    units = (low + F.when((past > 0) | ((past == 0) & odd), F.lit(1.0)).otherwise(F.lit(0.0))).cast("bigint")
+    digits = F.lpad(units.cast("string"), F.greatest(F.length(units.cast("string")), F.lit(decimals + 1)), F.lit("0"))
+    text = F.concat(
+        F.when((v < 0) | (v.cast("string") == "-0.0"), F.lit("-")).otherwise(F.lit("")),
+        F.substring(digits, F.lit(1), F.length(digits) - decimals),
+        *([F.lit("."), F.right(digits, F.lit(decimals))] if decimals else []),
+    )
+    return F.when(x < F.lit(2.0**52 / k), text).when(v.isNotNull(), F.format_string(f"%.{decimals}f", v))
+
+
+def percent_text(c: str | Column, decimals: int = 2) -> Column:
+    """A share as percent text, e.g. 0.25 -> '25.00%'."""
+    return F.concat(fixed_text(_col(c) * F.lit(100.0), decimals), F.lit("%"))

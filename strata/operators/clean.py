@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,10 +23,11 @@ from strata.schemas import (
     PANDAS_NULL_WORDS,
     SURVEY_COLUMNS,
 )
+from strata.session import scratch_path
 
 NULL_RULES: dict[str, list[str]] = {"reference": NULL_WORDS, "pandas": PANDAS_NULL_WORDS, "none": []}
 CASE_RULES = ("title", "first", "none")
-MERGE_POLICIES = ("null_on_mismatch", "keep_pair", "whole_table", "none")
+MERGE_POLICIES = ("null_on_mismatch", "keep_pair", "whole_table", "whole_table_in_plan", "none")
 
 
 def _words(nulls: str | Iterable[str]) -> list[str]:
@@ -100,8 +101,12 @@ def merge_pair(
     * ``keep_pair``: row by row - equal rows get ``merged`` and a nulled pair, unequal rows
       keep the pair and a null ``merged``; the schema is fixed.
     * ``whole_table``: if the pair agrees on every row (null-safe), drop ``second`` and
-      rename ``first`` in place; otherwise change nothing. Deciding this is one global
-      aggregate (partial per task, one row per task to the final step).
+      rename ``first`` in place; otherwise change nothing. The columns depend on the rows, so
+      ``df`` is written once to the shared scratch folder and read back (``settled``).
+    * ``whole_table_in_plan``: the same decision as a scalar subquery inside the plan, so
+      nothing runs while it is built, and so with a fixed schema: if the pair agrees on every
+      row all rows get ``merged`` and a nulled pair, else all keep the pair and a null
+      ``merged``.
     * ``none``: leave the pair alone.
     """
     if policy not in MERGE_POLICIES:
@@ -111,20 +116,36 @@ def merge_pair(
     p, s = F.col(first), F.col(second)
     if policy == "null_on_mismatch":
         return df.withColumn(merged, F.when(p == s, p)).drop(first, second)
+    if policy == "whole_table":
+        return settled(df, scratch_path(df.sparkSession, "pair"), first, second, merged)
     if policy == "keep_pair":
         eq = F.coalesce(p == s, F.lit(False))
-        return df.select(
-            *[
-                F.when(eq, F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-                if c in (first, second) else F.col(c)
-                for c in df.columns
-            ],
-            F.when(eq, p).alias(merged),
-        )
-    agree = df.agg(F.coalesce(F.bool_and(p.eqNullSafe(s)), F.lit(True)).alias("a")).first()["a"]
-    if not agree:
-        return df
-    return df.drop(second).withColumnRenamed(first, merged)
+    else:
+        eq = df.agg(F.coalesce(F.bool_and(p.eqNullSafe(s)), F.lit(True))).scalar()
+    return df.select(
+        *[
+            F.when(eq, F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
+            if c in (first, second) else F.col(c)
+            for c in df.columns
+        ],
+        F.when(eq, p).alias(merged),
+    )
+
+
+def settled(
+    df: DataFrame, path: str, first: str = PAIR[0], second: str = PAIR[1], merged: str = MERGED
+) -> DataFrame:
+    """``df`` (with its pair) written to ``path`` as Parquet and read back in the layout that
+    its rows call for: if the pair agrees on every row, ``second`` is gone and ``first`` is
+    renamed in place, otherwise nothing changes. Whether it agrees is observed by the write
+    itself, so ``df`` is computed once and never for the decision alone."""
+    seen = Observation()
+    agree = F.bool_and(F.col(first).eqNullSafe(F.col(second))).alias("agree")
+    df.observe(seen, agree).write.mode("overwrite").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    if seen.get["agree"] is False:  # null: no rows, nothing disagrees
+        return out
+    return out.drop(second).withColumnRenamed(first, merged)
 
 
 def drop_metadata(df: DataFrame, meta: Sequence[str] = META_COLUMNS) -> DataFrame:

@@ -18,7 +18,7 @@ def flatten(bronze_df: DataFrame, paths: list[tuple[str, str]] = RAW_PATHS) -> D
 
 
 def status_counts(bronze_df: DataFrame) -> DataFrame:
-    """Number of records per status (valid / parse_error / schema_error)."""
+    """Number of records per status (valid / parse_error / schema_error / too_deep)."""
     return bronze_df.groupBy("_status").agg(F.count(F.lit(1)).alias("n_records"))
 
 

@@ -8,8 +8,11 @@ Windows and totals only ever run over already-aggregated rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,16 +94,23 @@ def share_within(
     df: DataFrame, group: str, value: str, drop_null_key: bool = False, sort: bool = True
 ) -> DataFrame:
     """Count of each ``value`` inside each ``group`` and its share of the group.
-    The window runs over the aggregated (group, value) rows only."""
+
+    Two levels: counts of (group, value), then totals of the groups from the counts, joined
+    back. No task needs all values of a group, as a window per group would, so a group with
+    millions of values stays spread; both levels read one shuffle of the counts."""
     d = df.filter(F.col(group).isNotNull()) if drop_null_key else df
     counts = d.groupBy(group, value).agg(F.count(F.lit(1)).alias("count"))
-    out = counts.withColumn(
-        "prop",
-        F.col("count").cast("double") / F.sum("count").over(Window.partitionBy(group)).cast("double"),
-    )
+    out = _with_share(counts, group).select(group, value, "count", "prop")
     return out.orderBy(group, value) if sort else out
 
 
+def _with_share(counts: DataFrame, group: str) -> DataFrame:
+    """``counts`` with ``prop``, the share of a row's count in its group (null is a group)."""
+    totals = counts.groupBy(F.col(group).alias("_g")).agg(F.sum("count").alias("_total"))
+    joined = counts.join(totals, F.col(group).eqNullSafe(F.col("_g")))
+    return joined.withColumn("prop", _ratio("count", "_total")).drop("_g", "_total")
+
+
 def share_map(df: DataFrame, group: str, value: str, drop_null_key: bool = False) -> DataFrame:
     """One row per group with a ``value -> share`` map. Built from the aggregated counts,
     so each map holds one entry per distinct value, never one per row. Null values cannot
@@ -188,6 +198,62 @@ def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
+def hash_sample(df: DataFrame, fraction: float, seed: int = 42, columns: Sequence[str] | None = None) -> DataFrame:
+    """The rows whose hash is below ``fraction``: a sample without replacement that depends on
+    the values and the seed only, not on files, partitions or tasks, so any engine draws the
+    same rows again. Hashed are ``columns`` (by default all, in their order) as text, a null as
+    a mark of its own; equal rows are drawn together. A filter: no shuffle."""
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError("fraction must be between 0 and 1")
+    text = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns or df.columns]
+    digits = F.substring(F.sha2(F.concat_ws("|", F.lit(str(seed)), *text), 256), 1, 8)
+    return df.filter(F.conv(digits, 16, 10).cast("bigint") < F.lit(int(fraction * (1 << 32))))
+
+
+# --------------------------------------------------------------------------- cache
+@contextmanager
+def served(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK, partitions: int | None = None) -> Iterator[DataFrame]:
+    """``df`` persisted while several questions are asked of it, and released after them, also
+    on an error. ``partitions`` deals the rows out anew before they are kept. Partitions that
+    don't fit in memory go to the executors' disks; a lost one is computed again.
+
+        with served(gold) as g:
+            answers = {q: stored(a) for q, a in answer_all(g).items()}
+
+    What is built inside and run after the block reads the files again, not the copy."""
+    kept = (df.repartition(partitions) if partitions else df).persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist(blocking=True)
+
+
+def answer_rows(answers: dict[str, DataFrame]) -> DataFrame:
+    """Answers of questions A-E in one table: question, key, value, n, prop."""
+    text = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
+    parts = []
+    for q, df in sorted(answers.items()):
+        names = [c for c in df.columns if c not in ("count", "total_count", "yes_count", "n", "prop")]
+        n = next((c for c in ("count", "total_count", "n") if c in df.columns), None)
+        parts.append(df.select(
+            F.lit(q).alias("question"), text(names[0]).alias("key"), text(names[1] if len(names) > 1 else None).alias("value"),
+            (F.col(n) if n else F.lit(None)).cast("bigint").alias("n"), "prop"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def cached_answers(df: DataFrame, path: str) -> DataFrame:
+    """Questions A-E, each by its own operator over one persisted copy of ``df``: ``df`` is
+    scanned once, the answers are written to ``path`` and the copy is released."""
+    with served(df) as g:
+        answers = {
+            "A": top_category(g), "B": share_within(g, "Country", TARGET, sort=False), "C": share_global(g, TARGET),
+            "D": rate_by_group(g, "Country", "MentalHealthHistory"),
+            "E": rate_by_group(g, "Occupation", "SelfEmployed", drop_null_key=True),
+        }
+        answer_rows(answers).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 # --------------------------------------------------------------------------- one scan
 def answer_all(
     df: DataFrame,
@@ -263,8 +329,7 @@ def answer_all(
 
     b = rows_of("__within").select(F.col("_k1").alias(share_group), F.col("_k2").alias(target),
                                    F.col("n").alias("count"))
-    b = b.withColumn("prop", F.col("count").cast("double")
-                     / F.sum("count").over(Window.partitionBy(share_group)).cast("double"))
+    b = _with_share(b, share_group)
     c = rows_of("__global").select(F.col("_k1").alias(target), F.col("n").alias("count"))
     c = c.withColumn("prop", F.col("count").cast("double") / c.agg(F.sum("count")).scalar().cast("double"))
 

@@ -64,25 +64,44 @@ def _aligned(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in like.schema.fields])
 
 
+def signed_rows(base: DataFrame, others: dict[str, DataFrame]) -> DataFrame:
+    """Distinct rows of all answers, each with how many copies more (positive) or fewer
+    (negative) ``base`` has than each other answer, in a column ``_w_<name>`` per answer.
+
+    A signed multiset union: every answer is planned once and enters one union, ``base`` with
+    +1 in every weight and another answer with -1 in its own; one aggregate over all columns,
+    partial in each task, adds the weights."""
+    weights = [f"_w_{n}" for n in others]
+    tagged = [base.select("*", *[F.lit(1).alias(w) for w in weights])]
+    for name, df in others.items():
+        tagged.append(_aligned(df, base).select("*", *[F.lit(-1 if w == f"_w_{name}" else 0).alias(w) for w in weights]))
+    return reduce(DataFrame.unionAll, tagged).groupBy(*base.columns).agg(*[F.sum(w).alias(w) for w in weights])
+
+
+def differing_rows(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows that two answers hold in unequal numbers, with ``surplus``: copies in ``a`` less
+    copies in ``b``."""
+    rows = signed_rows(a, {"b": b}).filter(F.col("_w_b") != 0)
+    return rows.select(*a.columns, F.col("_w_b").alias("surplus"))
+
+
 def mismatches(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows in one answer and not the other, both ways, multiset-exact (one-row count)."""
-    b = _aligned(b, a)
-    return a.exceptAll(b).unionAll(b.exceptAll(a)).agg(F.count(F.lit(1)).alias("mismatches"))
+    return differing_rows(a, b).agg(F.coalesce(F.sum(F.abs("surplus")), F.lit(0)).alias("mismatches"))
+
+
+def compare_faces(question: str, answers: dict[str, DataFrame], base: str = "dataframe") -> DataFrame:
+    """(question, face, mismatches) of every face but ``base`` against it."""
+    others = {n: df for n, df in answers.items() if n != base}
+    wrong = signed_rows(answers[base], others).agg(
+        F.array(*[F.struct(F.lit(n).alias("face"), F.coalesce(F.sum(F.abs(f"_w_{n}")), F.lit(0)).alias("mismatches")) for n in others]).alias("f"))
+    return wrong.select(F.lit(question).alias("question"), F.inline("f"))
 
 
 def faces_agree(spark: SparkSession, gold: DataFrame, view: str = "survey_gold") -> DataFrame:
     """One row per (question, face): mismatching rows against the DataFrame face (0 = agree)."""
     built = faces(spark, gold, view)
-    parts = []
-    for question, by_face in built.items():
-        base = by_face["dataframe"]()
-        for face in ("sql", "rdd"):
-            parts.append(
-                mismatches(base, by_face[face]()).select(
-                    F.lit(question).alias("question"), F.lit(face).alias("face"), "mismatches"
-                )
-            )
-    return reduce(DataFrame.unionAll, parts)
+    return reduce(DataFrame.unionAll, [compare_faces(q, {f: build() for f, build in by_face.items()}) for q, by_face in built.items()])
 
 
 def time_faces(spark: SparkSession, gold: DataFrame, view: str = "survey_gold") -> list[dict]:

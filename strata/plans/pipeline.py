@@ -8,9 +8,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from strata.operators.clean import clean
+from strata.operators.clean import FACE_RULES, clean
 from strata.operators.ingest import flatten
+from strata.schemas import MERGED, SURVEY_COLUMNS
 from strata.sinks.writers import write_gold, write_table
 from strata.sources.files import read_silver_csv
 from strata.sources.jsonl import bronze, read_lines
@@ -56,8 +58,6 @@ def run_gold_faces(spark: SparkSession, silver_path: str, out_root: str,
                    partitions: int | None = None) -> dict[str, dict[str, str]]:
     """One Gold folder per rule set (``out_root/<face>/<format>``), by default the three
     rule sets of the reference's cleaning faces."""
-    from strata.operators.clean import FACE_RULES
-
     out_root = out_root.rstrip("/")
     return {
         face: run_gold(spark, silver_path, f"{out_root}/{face}", formats, partitions, **rules)
@@ -65,6 +65,28 @@ def run_gold_faces(spark: SparkSession, silver_path: str, out_root: str,
     }
 
 
+#: Every column that the Gold of any approach has, in one order.
+APPROACH_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in (*SURVEY_COLUMNS, MERGED)])
+
+
+def run_gold_by_approach(spark: SparkSession, silver_path: str, out_root: str, faces: dict[str, dict] | None = None,
+                         formats=("parquet", "csv", "json"), partitions: int | None = None) -> dict[str, dict[str, str]]:
+    """As ``run_gold_faces``, in folders that Spark discovers as partitions:
+    ``out_root/approach=<face>/<format>``."""
+    found = run_gold_faces(spark, silver_path, out_root, {f"approach={f}": r for f, r in (faces or FACE_RULES).items()}, formats, partitions)
+    return {f.removeprefix("approach="): paths for f, paths in found.items()}
+
+
+def read_gold_by_approach(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """The Gold of all approaches as one table with a column ``approach``; a filter on it reads
+    the folders of those approaches only. Columns that an approach's rules don't make are null."""
+    schema = T.StructType([*APPROACH_SCHEMA.fields, T.StructField("approach", T.StringType())])
+    root = root.rstrip("/")
+    if fmt not in ("parquet", "json"):
+        raise ValueError("columns are found by name: parquet or json")
+    return spark.read.schema(schema).option("basePath", root).format(fmt).load(f"{root}/approach=*/{fmt}")
+
+
 def medallion(spark: SparkSession, raw_path: str, root: str, formats=("parquet", "csv", "json"),
               partitions: int | None = None, silver_format: str = "csv", **rules) -> Layers:
     """Run all three layers under ``root`` (a shared folder on a cluster)."""

@@ -9,6 +9,7 @@ and each result becomes a DataFrame with the DataFrame face's schema.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.schemas import FACTORS, TARGET
@@ -64,10 +65,10 @@ def share_within_rdd(spark: SparkSession, df: DataFrame, group: str, value: str)
 def share_global_rdd(spark: SparkSession, df: DataFrame, value: str) -> DataFrame:
     ship_package(spark)
     counts = df.select(value).rdd.map(lambda r: (r[0], 1)).reduceByKey(lambda a, b: a + b)
-    total = counts.values().sum()  # one number back to the driver
-    schema = T.StructType([T.StructField(value, T.StringType()), T.StructField("count", T.LongType(), False),
-                           T.StructField("prop", T.DoubleType())])
-    return spark.createDataFrame(counts.map(lambda kv: (kv[0], kv[1], kv[1] / total)), schema)
+    schema = T.StructType([T.StructField(value, T.StringType()), T.StructField("count", T.LongType(), False)])
+    rows = spark.createDataFrame(counts, schema)  # the total is a subquery: no job while planning
+    total = rows.agg(F.sum("count")).scalar()
+    return rows.withColumn("prop", F.col("count").cast("double") / total.cast("double"))
 
 
 def rate_by_group_rdd(spark: SparkSession, df: DataFrame, key: str, flag_col: str,

@@ -68,10 +68,11 @@ def share_within_sql(view: str, group: str, value: str, decimal: bool = False) -
 
 
 def share_global_sql(view: str, value: str, decimal: bool = False) -> str:
-    # Total as a scalar subquery (one global aggregate), not a single-partition window.
+    # An aggregate inside a window over the grouped rows: the view is scanned once, and the
+    # window's one task sees a row per distinct value.
     return f"""
     SELECT {q(value)}, COUNT(*) AS count,
-           {_ratio('COUNT(*)', f'(SELECT COUNT(*) FROM {q(view)})', decimal)} AS prop
+           {_ratio('COUNT(*)', 'SUM(COUNT(*)) OVER ()', decimal)} AS prop
     FROM {q(view)} GROUP BY {q(value)}"""
 
 

@@ -57,6 +57,7 @@ PANDAS_NULL_WORDS: list[str] = [
 
 # --- fixed values: status tags of a Bronze record -----------------------------------------
 VALID, PARSE_ERROR, SCHEMA_ERROR = "valid", "parse_error", "schema_error"
+TOO_DEEP = "too_deep"  # ours: of the declared shape, but a field is nested too deep to be kept as text
 SOURCE_JSONL = "jsonl"
 
 # Column name <- raw path, built from the two tables above.

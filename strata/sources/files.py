@@ -12,8 +12,8 @@ from strata.schemas import GOLD_SCHEMA, SILVER_SCHEMA
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 
 
-def read_silver_csv(spark: SparkSession, path: str, schema: T.StructType = SILVER_SCHEMA) -> DataFrame:
-    """Silver CSV, its columns bound by header name to the declared schema, in any order.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A CSV layer, its columns bound by header name to the declared schema, in any order.
 
     The header of one file gives the order; Spark checks every other file's header against it.
     Names that are missing from the header or not in the schema are an error.
@@ -25,6 +25,11 @@ def read_silver_csv(spark: SparkSession, path: str, schema: T.StructType = SILVE
     return spark.read.schema(by_name).options(**CSV_OPTIONS, enforceSchema="false").csv(path).select(schema.fieldNames())
 
 
+def read_silver_csv(spark: SparkSession, path: str, schema: T.StructType = SILVER_SCHEMA) -> DataFrame:
+    """Silver CSV, bound by header name."""
+    return read_csv(spark, path, schema)
+
+
 def read_gold(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType = GOLD_SCHEMA
 ) -> DataFrame:
@@ -32,7 +37,7 @@ def read_gold(
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt == "csv":
-        return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+        return read_csv(spark, path, schema)
     if fmt == "json":
         return spark.read.schema(schema).json(path)
     raise ValueError(f"unknown format {fmt!r}")

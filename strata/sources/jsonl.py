@@ -6,17 +6,17 @@ gets a status:
 * ``parse_error``  - not exactly one JSON value (cut off, trailing text, two values,
   single quotes, trailing comma, raw control character, ...);
 * ``schema_error`` - JSON, but not an object, or one of the groups is not an object;
+* ``too_deep``     - of the declared shape, but a declared field holds a value nested deeper
+  than Spark's JSON writer can turn into text (1,000 levels);
 * ``valid``        - an object whose groups are objects, null or missing.
 
 Spark's JSON reader is lenient: it stops after the first value and takes single quotes.
-Strictness comes from parsing the line inside ``{"r":[ ... ]}`` with single quotes off -
-any text after the value breaks the wrapper, and two values give an array of size two.
-A line can close that wrapper early only if it holds ``]`` then ``}`` (with optional
-whitespace between); such lines are also parsed inside ``[[ ... ]]``, and no text can
-escape both wrappers, since right after a complete value the first needs ``]}`` and the
-second ``]]``.
+Strictness comes from parsing the line inside ``{"r": ... }`` and inside ``{"r":[ ... ]}``,
+with single quotes off. The schema declares no ``r``, so the reader walks over the line
+without building anything, at any depth. After a complete value the first wrapper takes only
+``}`` or ``,"name":``, the second only ``]`` or ``,``: nothing but exactly one value fits both.
 The payload parse uses the declared schema with a corrupt-record column, which is set
-when the line is not an object or a group has the wrong type. Two built-in parses per
+when the line is not an object or a group has the wrong type. Three built-in parses per
 line, no Python.
 """
 
@@ -33,6 +33,7 @@ from strata.schemas import (
     RAW_SCHEMA,
     SCHEMA_ERROR,
     SOURCE_JSONL,
+    TOO_DEEP,
     VALID,
 )
 
@@ -44,8 +45,8 @@ _STRICT = {
     "maxNumLen": _LONG, "maxStringLen": _LONG, "maxNestingDepth": _LONG,
 }
 _PAYLOAD_SCHEMA = T.StructType(list(RAW_SCHEMA.fields) + [T.StructField(_CORRUPT, T.StringType())])
-_WRAP_SCHEMA = T.StructType([T.StructField("r", T.ArrayType(T.StringType()))])
-_WRAP2_SCHEMA = T.ArrayType(T.ArrayType(T.StringType()))
+_WALK_SCHEMA = T.StructType([T.StructField("_none", T.StringType()), T.StructField(_CORRUPT, T.StringType())])
+_SHALLOW_SCHEMA = T.StructType([T.StructField(g, _WALK_SCHEMA) for g in RAW_GROUPS] + [T.StructField(_CORRUPT, T.StringType())])
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -54,15 +55,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path)
 
 
+def _reads(text: Column, schema: T.StructType) -> Column:
+    """True when the text begins with a JSON object that fits the schema."""
+    return F.from_json(text, schema, {**_STRICT, "columnNameOfCorruptRecord": _CORRUPT})[_CORRUPT].isNull()
+
+
 def is_single_json(line: str | Column) -> Column:
-    """True when the text is exactly one JSON value (strict, like ``json.loads``)."""
+    """True when the text is exactly one JSON value (strict, like ``json.loads``), however
+    deeply nested."""
     line = F.col(line) if isinstance(line, str) else line
-    wrapped = F.from_json(F.concat(F.lit('{"r":['), line, F.lit("]}")), _WRAP_SCHEMA, _STRICT)
-    first = F.coalesce(F.size(wrapped["r"]) == F.lit(1), F.lit(False))
-    nested = F.from_json(F.concat(F.lit("[["), line, F.lit("]]")), _WRAP2_SCHEMA, _STRICT)
-    second = F.coalesce((F.size(nested) == F.lit(1)) & (F.size(nested[0]) == F.lit(1)), F.lit(False))
-    may_escape = line.contains("]") & line.rlike(r"\]\s*\}")  # cheap test first
-    return first & F.when(may_escape, second).otherwise(F.lit(True))
+    alone = _reads(F.concat(F.lit('{"r":'), line, F.lit("}")), _WALK_SCHEMA)
+    listed = _reads(F.concat(F.lit('{"r":['), line, F.lit("]}")), _WALK_SCHEMA)
+    return line.isNotNull() & alone & listed
 
 
 def ingestion_time() -> Column:
@@ -83,8 +87,9 @@ def bronze(lines: DataFrame, value_col: str = "value", source: str = SOURCE_JSON
     )
     status = (
         F.when(~F.col("_is_json"), F.lit(PARSE_ERROR))
-        .when(F.col(f"_p.{_CORRUPT}").isNotNull(), F.lit(SCHEMA_ERROR))
-        .otherwise(F.lit(VALID))
+        .when(F.col(f"_p.{_CORRUPT}").isNull(), F.lit(VALID))
+        .when(_reads(F.col("_line"), _SHALLOW_SCHEMA), F.lit(TOO_DEEP))
+        .otherwise(F.lit(SCHEMA_ERROR))
     )
     staged = staged.withColumn("_status", status)
     ok = F.col("_status") == F.lit(VALID)

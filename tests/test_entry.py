@@ -22,7 +22,7 @@ def test_keys_line_up():  # noqa: D103
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     own = {k for k in q if k != "pipeline" and not re.match(r"op\d+_", k)}  # the others are tested in tests/llm
-    assert own - set(o) == {"output_sizes", "sample_rows"}
+    assert own - set(o) == {"output_sizes"}
 
 
 @pytest.fixture(scope="module")
