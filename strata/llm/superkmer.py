@@ -23,9 +23,11 @@ from strata.llm.common import on_workers, shuffle_partitions, stored
 from strata.llm.words import pieces_of, run_hash, run_starts, sliding_min, span_hash, split_bytes, split_words
 
 WINDOW, GRAM = 13, 3
-#: Bytes of strings that a bucket holds on average, and that a task gathers before it sends.
-BUCKET_BYTES, HELD_BYTES = 2 << 20, 64 << 20
+#: Bytes of strings that a bucket holds on average, that a task gathers (with their items)
+#: before it sends, and that it puts into one message.
+BUCKET_BYTES, HELD_BYTES, SENT_BYTES = 2 << 20, 48 << 20, 4 << 20
 _ITEM = np.dtype([("doc", "<i8"), ("key", "<i8"), ("start", "<i4"), ("stop", "<i4"), ("size", "<i4")])
+_HELD = np.dtype([*_ITEM.descr, ("bucket", "<i8"), ("at", "<i8"), ("d1", "<i8"), ("d2", "<i8")])
 _RANGES = "doc long, key long, start int, stop int"
 
 
@@ -104,54 +106,52 @@ def ranges(df: DataFrame, window: int = WINDOW) -> DataFrame:
     buckets = max(shuffle_partitions(spark), math.ceil(3 * total / BUCKET_BYTES))
 
     def send(batches):
-        held: dict[bytes, tuple] = {}  # string -> smallest document's item
-        known: list[tuple] = []  # repeats found here
-        n_held = 0
+        parts, held, n_held = [], bytearray(), 0  # items and their strings, one after another
 
         def flush():
-            by: dict[int, tuple[list, list]] = {}
-            for s, (b, items) in held.items():
-                its, strings = by.setdefault(b, ([], []))
-                for it in items:
-                    its.append((*it, len(s)))
-                    strings.append(s)
-            for b, it in known:
-                by.setdefault(b, ([], []))[0].append((*it, -1))
-            ids = list(by)
-            metas = [np.array(by[b][0], _ITEM).tobytes() for b in ids]
-            sent = [b"".join(by[b][1]) for b in ids]
-            sizes = [len(s) for s in sent]
-            packed = [pa.compress(s, "zstd", asbytes=True) for s in sent]
-            held.clear()
-            known.clear()
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(metas, pa.binary()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())], ["bucket", "items", "size", "strings"])
+            """Buckets in order, a few at a time, so that no second copy of the whole is made."""
+            x = np.concatenate(parts)
+            parts.clear()
+            x = x[np.lexsort((x["at"], x["doc"], x["d2"], x["d1"]))]
+            new = np.ones(len(x), bool)
+            new[1:] = (x["d1"][1:] != x["d1"][:-1]) | (x["d2"][1:] != x["d2"][:-1])
+            least = x["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
+            x["size"][x["doc"] > least] = -1  # equal strings of later documents are repeats: told without the string
+            x = x[np.argsort(x["bucket"], kind="stable")]
+            lo = 0
+            while lo < len(x):
+                hi = int(np.searchsorted(np.cumsum(np.maximum(x["size"][lo:], 0) + _ITEM.itemsize), SENT_BYTES, "right")) + lo
+                hi = max(hi, lo + 1)
+                hi = int(np.searchsorted(x["bucket"], x["bucket"][hi - 1], "right"))
+                ids, metas, sizes, packed = [], [], [], []
+                for y in np.split(x[lo:hi], np.flatnonzero(np.diff(x["bucket"][lo:hi])) + 1):
+                    text = b"".join([held[i : i + n] for i, n in zip(y["at"].tolist(), y["size"].tolist(), strict=True) if n > 0])
+                    ids.append(int(y["bucket"][0]))
+                    metas.append(y[list(_ITEM.names)].astype(_ITEM).tobytes())
+                    sizes.append(len(text))
+                    packed.append(pa.compress(text, "zstd", asbytes=True))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(metas, pa.binary()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())], ["bucket", "items", "size", "strings"])
+                lo = hi
 
         for whole in batches:
             for b in pieces_of(whole, "text"):
                 w = split_words(b.column(2))
                 row, lo, hi, least = super_kmers(w, window)
-                docs, keys = b.column(0).to_numpy(), b.column(1).to_numpy()
-                raw, base = w.data.tobytes(), w.first[row]
-                cols = (docs[row], keys[row], lo - base, hi - base, (least % np.uint64(buckets)).astype(np.int64), w.starts[lo], w.ends[hi - 1])
-                for doc, key, i, j, bucket, s, e in zip(*(c.tolist() for c in cols), strict=True):
-                    text = raw[s:e]
-                    it = (doc, key, i, j)
-                    was = held.get(text)
-                    if was is None:
-                        held[text] = (bucket, [it])
-                        n_held += len(text) + 500
-                    elif doc > was[1][0][0]:
-                        known.append((bucket, it))
-                        n_held += 300
-                    elif doc == was[1][0][0]:
-                        was[1].append(it)
-                    else:
-                        known.extend((bucket, x) for x in was[1])
-                        held[text] = (bucket, [it])
-                if n_held > HELD_BYTES:
-                    yield flush()
-                    n_held = 0
-        yield flush()
+                base, raw, s, e = w.first[row], w.data.data, w.starts[lo], w.ends[hi - 1]
+                x = np.zeros(len(row), _HELD)
+                x["doc"], x["key"] = b.column(0).to_numpy()[row], b.column(1).to_numpy()[row]
+                x["start"], x["stop"], x["size"], x["bucket"] = lo - base, hi - base, e - s, least % np.uint64(buckets)
+                x["at"] = len(held) + np.cumsum(e - s) - (e - s)
+                sha = b"".join([hashlib.blake2b(raw[i:j], digest_size=16).digest() for i, j in zip(s.tolist(), e.tolist(), strict=True)])
+                x["d1"], x["d2"] = np.frombuffer(sha, "<i8").reshape(-1, 2).T
+                held += b"".join([raw[i:j] for i, j in zip(s.tolist(), e.tolist(), strict=True)])
+                parts.append(x)
+                n_held += x.nbytes
+                if len(held) + n_held > HELD_BYTES:
+                    yield from flush()
+                    held, n_held = bytearray(), 0
+        if parts:
+            yield from flush()
 
     def judge(table):
         items = np.concatenate([np.frombuffer(x, _ITEM) for x in table.column("items").to_pylist()])
