@@ -5,7 +5,7 @@ of at most ``capacity`` tokens, and dealt round robin into shards of a bounded n
 documents. A task packs one shard: around the largest piece left it enumerates the
 undominated fillings of the free space, follows them in order of waste, and leaves a branch
 as soon as its waste shows that it cannot beat the incumbent, which starts as best-fit
-decreasing. A shard wastes at most the fraction of a sequence, so sharding costs less than
+decreasing. Time bounds the search, see ``bin_completion``. A shard wastes at most the fraction of a sequence, so sharding costs less than
 one sequence a shard.
 """
 
@@ -67,53 +67,63 @@ class _Left:
         return (self.mask & ((2 << s) - 1)).bit_length() - 1 if s > 0 and self.mask & ((2 << s) - 1) else 0
 
 
-def fillings(left: _Left, room: int, width: int) -> list[tuple[int, tuple[int, ...]]]:
-    """(waste, sizes) of undominated fillings of ``room``, least waste first. One piece that
-    fills the room exactly dominates all others; a pair whose sum is no more than the best
-    single, or that is no larger in both parts than another pair, is dominated."""
-    one = left.at_most(room)
-    if one == 0:
-        return [(room, ())]
-    if one == room:
-        return [(0, (room,))]
-    found = {(one,): room - one}
-    best_y, x = 0, one
-    while x and 2 * x >= best_y:
+def fillings(left: _Left, room: int, allowed: int, steps: int) -> tuple[list[tuple[int, tuple[int, ...]]], int]:
+    """(waste, sizes) of the undominated fillings of ``room`` that waste no more than
+    ``allowed``, least waste first, and the steps that finding them took, ``steps`` at most.
+
+    Fillings of any number of pieces are enumerated depth-first, larger pieces first. One is
+    dominated if another piece fits in as well, or if a larger piece that is left can stand in
+    for one of its pieces, or one piece for two neighbours."""
+    found, chosen, rest, used = [], [], room, 0
+    while True:
+        x = left.at_most(min(chosen[-1], rest) if chosen else rest)
+        while x:  # fill up
+            left.take(x)
+            chosen.append(x)
+            rest -= x
+            used += 1
+            x = left.at_most(min(x, rest))
+        if rest <= allowed and not left.at_most(rest):
+            over = any(left.at_most(c + rest) > c for c in set(chosen))
+            if not over and not any(left.at_most(c + d + rest) >= c + d for c, d in zip(chosen, chosen[1:], strict=False)):
+                found.append((rest, tuple(chosen)))
+                if rest == 0 and len(chosen) <= 1:
+                    break  # one piece that fills the room dominates all others
+        x = 0
+        while chosen and not x and used < steps:  # the next smaller piece in the last place that has one
+            last = chosen.pop()
+            left.add(last)
+            rest += last
+            x = left.at_most(last - 1)
+        if not x:
+            break
         left.take(x)
-        y = left.at_most(min(x, room - x))
-        if y > best_y and x + y > one:
-            best_y, got, rest = y, [x, y], room - x - y
-            left.take(y)
-            while rest and (z := left.at_most(min(got[-1], rest))):  # fill up
-                left.take(z)
-                got.append(z)
-                rest -= z
-            for z in got[1:]:
-                left.add(z)
-            found[tuple(got)] = rest
-            if rest == 0:
-                left.add(x)
-                break
-        left.add(x)
-        x = left.at_most(x - 1)
-    return sorted((w, s) for s, w in found.items())[:width]
-
-
-def bin_completion(sizes: list[int], capacity: int, width: int = 4, nodes_per_bin: int = 4) -> list[list[int]]:
-    """Bins (lists of sizes) that hold all sizes. ``width`` and ``nodes_per_bin`` bound the
-    search, not the result: when they run out the incumbent stands."""
+        chosen.append(x)
+        rest -= x
+        used += 1
+    for c in chosen:
+        left.add(c)
+    return sorted(found, key=lambda f: f[0]), used + 1
+
+
+def bin_completion(sizes: list[int], capacity: int, steps: int | None = None, each: int = 256) -> list[list[int]]:
+    """Bins (lists of sizes) that hold all sizes. ``steps`` of the search in all and ``each`` in
+    one enumeration bound the time, not the result: when they run out the incumbent stands, at
+    first best-fit decreasing. A search that ends before is complete: the result is optimal as
+    far as no enumeration was cut."""
     best = best_fit_decreasing(sizes, capacity)
     total = sum(sizes)
     least = math.ceil(total / capacity)
     left, path, waste = _Left(sizes, capacity), [], 0
-    nodes = nodes_per_bin * (len(best) + 16)
-    while len(best) > least and nodes > 0:
-        allowed = (len(best) - 1) * capacity - total  # waste of a solution with a bin less
-        if left.mask and waste <= allowed and nodes > 0:
-            nodes -= 1
+    steps = 100_000 + 64 * len(best) if steps is None else steps
+    while len(best) > least and steps > 0:
+        allowed = (len(best) - 1) * capacity - total - waste  # what a solution with a bin less may still waste
+        if left.mask and allowed >= 0:
             big = left.mask.bit_length() - 1
             left.take(big)
-            path.append([big, fillings(left, capacity - big, width), 0, None])
+            options, used = fillings(left, capacity - big, allowed, min(each, steps))
+            steps -= used
+            path.append([big, options, 0, None])
         elif not left.mask and len(path) < len(best):
             best = [[big, *chosen] for big, _, _, chosen in path]
             continue
@@ -195,9 +205,10 @@ class _Ids:
     def _word(self, w: bytes) -> bytes:
         text = w.decode()
         stem = text.rstrip(_MARKS)
-        if stem.isalpha() and max(stem) < "\u0250":
+        low = stem.lower()  # of U+0130 two characters, which the tokenizer splits
+        if low.isalpha() and max(stem) < "\u0250" > max(low):
             tail = text[len(stem) :]
-            return self._part(stem.lower()) + (self._part(tail) if tail else b"")
+            return self._part(low) + (self._part(tail) if tail else b"")
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
     def of(self, ws: list[bytes]) -> bytes:
