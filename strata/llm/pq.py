@@ -49,10 +49,16 @@ class Index:
         return codes, np.sqrt(left) + 1e-6
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one, also of components whose squares a double can't hold."""
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
 def _kmeans(x: np.ndarray, k: int, rounds: int, rng) -> np.ndarray:
     c = x[rng.choice(len(x), k, replace=len(x) < k)].copy()
     for _ in range(rounds):
-        at = ((c**2).sum(1)[None] - 2 * x @ c.T).argmin(1)
+        at = np.concatenate([((c**2).sum(1)[None] - 2 * part @ c.T).argmin(1) for part in np.array_split(x, -(-len(x) // 4096))])
         n = np.bincount(at, minlength=k)
         s = np.zeros_like(c)
         np.add.at(s, at, x)
@@ -60,18 +66,18 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, rng) -> np.ndarray:
     return c
 
 
-def fit(points: DataFrame, n: int, sample: int = 20_000, seed: int = 3) -> Index | None:
-    """Centroids (about the square root of the number of points) and codebooks from at most
-    ``sample`` points of the most frequent dimension, a multiple of ``PARTS``; None if there
-    is none."""
+def fit(points: DataFrame, n: int, sample: int = 20_000, most: int = 200_000, seed: int = 3) -> Index | None:
+    """Centroids, as many as the square root of the number of points, and codebooks; None if
+    there is no dimension that is a multiple of ``PARTS``. They are trained on a sample of the
+    most frequent dimension: ``sample`` points, or 8 a centroid, but ``most`` in all, which
+    bounds the lists at 25,000 (over 600 million points they get longer)."""
     dims = points.groupBy("dim").count().filter(F.col("dim") % PARTS == 0).orderBy(F.desc("count"), "dim").first()
     if dims is None:
         return None
-    some = points.filter(F.col("dim") == dims["dim"]).orderBy(F.xxhash64(F.lit(seed), "point")).limit(sample)
-    x = np.array([r[0] for r in some.select("vector").collect()], np.float64)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    k = max(1, int(np.sqrt(n)))
+    some = points.filter(F.col("dim") == dims["dim"]).orderBy(F.xxhash64(F.lit(seed), "point")).limit(min(most, max(sample, 8 * k)))
+    x = unit(np.array([r[0] for r in some.select("vector").collect()], np.float64))
     rng = np.random.default_rng(seed)
-    k = int(np.clip(np.sqrt(n), 1, 4096))
     coarse = _kmeans(x, min(k, max(1, len(x) // 8)), 12, rng)
     i = Index(coarse, np.zeros((PARTS, CODES, x.shape[1] // PARTS)))
     r = x - coarse[i.lists(x).argmin(1)]
@@ -89,7 +95,7 @@ def dealt(points: DataFrame, index: Index | None, radius: float) -> DataFrame:
     """
     spark = points.sparkSession
     held = spark.sparkContext.broadcast(index)
-    shape = "point long, label string, dim int, n long, vector array<float>"
+    shape = "point long, label string, dim int, n long, vector array<double>"
 
     def assign(batches):
         ix = held.value
@@ -98,8 +104,7 @@ def dealt(points: DataFrame, index: Index | None, radius: float) -> DataFrame:
             own, probes = np.zeros(len(vectors), np.int64), [[] for _ in vectors]
             ours = [i for i, v in enumerate(vectors) if ix is not None and len(v) == ix.dim]
             if ours:
-                x = np.array([vectors[i] for i in ours], np.float64)
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                x = unit(np.array([vectors[i] for i in ours], np.float64))
                 d = ix.lists(x)
                 near = d.argmin(1)
                 apart = np.sqrt(np.maximum(ix.lists(ix.coarse), 0))
@@ -140,8 +145,7 @@ def links(points: DataFrame, index: Index | None, least: float) -> DataFrame:
         ix = held.value
         ask = np.array(table.column("query").to_pylist(), bool)
         point, n = table.column("point").to_numpy(), table.column("n").to_numpy()
-        x = np.array(table.column("vector").to_pylist(), np.float64)
-        x /= np.sqrt((x * x).sum(1, keepdims=True))
+        x = unit(np.array(table.column("vector").to_pylist(), np.float64))
         at = np.flatnonzero(~ask)
         count, forest = np.zeros(len(point), np.int64), Forest(len(point))
         coded = ix is not None and x.shape[1] == ix.dim
@@ -189,7 +193,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     """
     on_workers(df.sparkSession)
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    rows = df.select(df[id_col].cast("long").alias("vec_id"), df[vector_col].cast("array<float>").alias("vector"), df[label_col].alias("label"))
+    rows = df.select(df[id_col].cast("long").alias("vec_id"), df[vector_col].cast("array<double>").alias("vector"), df[label_col].alias("label"))
     fit_in = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(finite & F.exists("vector", lambda v: v != 0), F.lit(False))
     good = rows.filter(fit_in)
     points = good.groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"))
