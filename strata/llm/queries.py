@@ -84,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB SQL where it can state a query's result.
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": superkmer.ORACLE,
+    "op8_jaccard_join": setjoin.ORACLE,
     "op11_merkle_manifest": merkle.ORACLE,
     "op13_prefix_trie": trie.ORACLE,
 }
