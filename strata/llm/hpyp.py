@@ -78,7 +78,7 @@ def _deal(docs: DataFrame, buckets: int) -> DataFrame:
             tok, ctx, doc = tok[order], ctx[order], doc[order]
             b = (tok % U(buckets)).astype(np.int64)
             cuts = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
-            part = (pid << 10) + turn
+            part = (pid << 24) + turn
             ids, blobs = [-1 - part], [np.array(people, _PERSON).tobytes()]
             for lo, hi in zip(cuts, np.append(cuts[1:], len(b)), strict=True):
                 t = tok[lo:hi]
@@ -165,42 +165,6 @@ def _first_tables(c: np.ndarray, discount: float) -> np.ndarray:
     return np.clip(np.rint(np.power(np.maximum(c, 1), discount)), np.minimum(c, 1), c).astype(np.int64)
 
 
-def _spread(c: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(dish, size) of tables that hold c customers at t tables, as even as can be."""
-    dish = np.repeat(np.arange(len(c)), t)
-    k = np.arange(len(dish)) - np.repeat(np.cumsum(t) - t, t)
-    return dish, c[dish] // t[dish] + (k < c[dish] % t[dish])
-
-
-def _gibbs(c: np.ndarray, dish: np.ndarray, size: np.ndarray, new_weight: np.ndarray, discount: float, moves: int, rng):
-    """Moves of one random customer of each dish: it leaves its table and takes a table in
-    proportion to its size less the discount, or a new one in proportion to ``new_weight``."""
-    n = len(c)
-    for _ in range(moves if n else 0):
-        ends = np.cumsum(size)
-        base = np.concatenate([[0], ends])[np.searchsorted(dish, np.arange(n))]
-        size = size.copy()
-        size[np.searchsorted(ends, base + rng.integers(0, c), "right")] -= 1
-        live = size > 0
-        dish, size = dish[live], size[live]
-        weight = size - discount
-        upto = np.cumsum(weight)
-        first = np.searchsorted(dish, np.arange(n + 1))
-        at = np.concatenate([[0.0], upto])[first]
-        mass = at[1:] - at[:-1]
-        u = rng.random(n) * (mass + new_weight)
-        old = (u < mass) & (first[1:] > first[:-1])
-        pick = np.searchsorted(upto, at[:-1][old] + u[old], "right")
-        pick = np.clip(pick, first[:-1][old], first[1:][old] - 1)
-        size[pick] += 1
-        fresh = np.flatnonzero(~old)
-        dish = np.concatenate([dish, fresh])
-        size = np.concatenate([size, np.ones(len(fresh), size.dtype)])
-        order = np.argsort(dish, kind="stable")
-        dish, size = dish[order], size[order]
-    return dish, size
-
-
 @lru_cache(4)
 def _log_stirling(discount: float) -> np.ndarray:
     """Logs of the generalised Stirling numbers of up to ``EXACT`` customers at t tables."""
@@ -396,8 +360,8 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_fol
     gathered = _deal(docs, buckets).groupBy("bucket").applyInArrow(_gather, f"{shape}, people binary")
     gathered = stored(gathered, "lm-buckets")
     rows = gathered.filter("people is null").drop("people")
-    states = [_share(rows, [])]
-    for _ in range(sweeps - 1):
+    states = [_share(rows, [])]  # what restaurants share before a sweep, and after the last
+    for _ in range(sweeps):
         states.append(_share(rows, list(states)))
     held = spark.sparkContext.broadcast(states)
 
@@ -405,11 +369,11 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_fol
         for b in batches:
             for row in b.to_pylist():
                 seat, p = Seating(row), 0.0
-                for turn, s in enumerate(held.value):
-                    seat.sweep(s, turn)
-                    if turn >= burn_in:
-                        p = p + seat.predict(s)
-                p = np.log10(p / (len(held.value) - burn_in))
+                for turn, (before, after) in enumerate(zip(held.value, held.value[1:], strict=False)):
+                    seat.sweep(before, turn)
+                    if turn >= burn_in:  # seats and sums of one sweep: probabilities add up to 1
+                        p = p + seat.predict(after)
+                p = np.log10(p / (sweeps - burn_in))
                 base = np.log10(seat.train + 0.5)[seat.word]
                 known = (seat.train > 0)[seat.word]
                 pair = np.repeat(np.arange(len(p)), seat.posts)

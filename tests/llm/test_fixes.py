@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from strata.llm import packing, pq, setjoin, stages
+from strata.llm import hpyp, packing, pq, setjoin, stages
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -116,3 +116,43 @@ def test_surrogates_stage_keeps_n_chars_true(spark):
     df = spark.createDataFrame([(1, "write to anna.smith@mail.com now", "en", "s", 32), (2, "nothing here", "en", "s", 12)], DOCS)
     out = stages.surrogates(spark, df, "").orderBy("doc_id").collect()
     assert out[1].text == "nothing here" and all(r.n_chars == len(r.text) for r in out) and "anna" not in out[0].text
+
+
+# ------------------------------------------------------------------ Pitman-Yor model
+def test_predictions_add_up_to_one():
+    """Two buckets of words: with the sums of the same sweep, each context's probabilities of
+    all known words and the unknown one add up to 1."""
+    rng = np.random.default_rng(6)
+    words, contexts = 40, 12
+    count = rng.poisson(1.5, (words, contexts)) * (rng.random((words, contexts)) < 0.7)
+    rows = []
+    for k in range(2):
+        mine = [w for w in range(k, words, 2) if count[w].any()]
+        ctx = [np.flatnonzero(count[w]) for w in mine]
+        columns = (mine, [len(c) for c in ctx], np.concatenate(ctx), np.concatenate([count[w][c] for w, c in zip(mine, ctx, strict=True)]), [], [], [])
+        rows.append({f: hpyp._pack(np.array(x).astype(t)) for f, t, x in zip(hpyp._FIELDS, hpyp._TYPES, columns, strict=True)} | {"bucket": k})
+
+    def shared(seats):
+        cust, tabs = np.zeros(hpyp.CONTEXTS), np.zeros(hpyp.CONTEXTS)
+        for s in seats:
+            cust += np.bincount(s.ctx, s.count, hpyp.CONTEXTS)
+            tabs += np.bincount(s.ctx, s.tables, hpyp.CONTEXTS)
+        known = sum(len(s.words) for s in seats)
+        root = sum(s.root().sum() for s in seats)
+        tables = sum((s.root_tables if s.root_tables is not None else np.minimum(s.root(), 1)).sum() for s in seats)
+        return hpyp.Shared(cust, tabs, known, int(count.sum()), root, tables, 0.7, 0.6)
+
+    seats = [hpyp.Seating(r) for r in rows]
+    state = shared(seats)
+    for turn in range(4):
+        for s in seats:
+            s.sweep(state, turn)
+        state = shared(seats)
+        total, root = np.zeros(contexts), np.zeros(contexts)
+        for s in seats:
+            total += np.bincount(s.ctx, s.predict(state), contexts)
+            p = s.root_prob(state, s.root_tables)
+            root += p.sum() - np.bincount(s.ctx, p[s.word], contexts)  # words not seen in the context
+        back = (state.strength + state.discount * state.tables[:contexts]) / (state.strength + state.customers[:contexts])
+        unknown = (state.strength + state.root_discount * state.root_tables) / (state.known + 1) / (state.strength + state.root_customers)
+        assert np.allclose(total + back * (root + unknown), 1, atol=1e-9)

@@ -193,14 +193,6 @@ def test_language_model(docs, local):
     assert held.score.sum() > held.base_score.sum()
 
 
-def test_gibbs_keeps_customers():
-    rng = np.random.default_rng(1)
-    c = rng.integers(1, 50, 200)
-    dish, size = hpyp._spread(c, hpyp._first_tables(c, 0.7))
-    dish, size = hpyp._gibbs(c, dish, size, np.full(200, 0.8), 0.7, 20, rng)
-    assert (np.bincount(dish, size) == c).all() and (size > 0).all()
-
-
 def _stirling_odds(c, w, discount):
     """Probabilities of 1 to c tables, by the recursion over customers."""
     p = np.zeros(c + 1)
