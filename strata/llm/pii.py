@@ -5,7 +5,10 @@ payment cards, social security and bank account numbers, access keys, and names
 Each distinct entity gets a surrogate of its own type: characters are replaced class by class
 (digit by digit, letter by letter of the same case), cards keep a valid check digit, names come
 from lists by gender and script. A surrogate is a keyed hash of the entity, so every mention in
-the corpus gets the same one. Proposals that meet another proposal, an earlier surrogate or any
+the corpus gets the same one. The entity is what stays when a spelling is set aside: a card,
+phone, social security or account number without its separators, a mail or network address in
+lower case; a number's surrogate is written with the separators of the mention. A name that a title shows
+is replaced in the rest of its text too, title or not. Proposals that meet another proposal, an earlier surrogate or any
 real entity are drawn anew in further rounds, until all are distinct.
 """
 
@@ -37,6 +40,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "EMAIL": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "SECRET": r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,}|[0-9a-f]{32,128})(?![A-Za-z0-9])",
+    "IP6": r"(?<![0-9A-Za-z:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "IP": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "CARD": r"(?<![\d+])(?:[3-6]\d{3}(?:[ -]\d{4}){3}|[3-6]\d{12,18})(?!\d)",
     "SSN": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -45,7 +49,16 @@ PATTERNS = {
     "NAME": rf"(?<!\p{{L}}){_TITLE} \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
 }
 ANY = "|".join(PATTERNS.values())
-_KEPT = {"SECRET": r"^(?:AKIA|gh[pousr]_|sk-)", "PHONE": r"^\+\d{1,3}(?=[ .(-])", "IBAN": r"^[A-Z]{2}", "CARD": r"^\d"}
+#: Of a phone number the country code stays: by the numbering plan one digit for 1 and 7, two
+#: for those listed, three for the others.
+_KEPT = {
+    "SECRET": r"^(?:AKIA|gh[pousr]_|sk-)",
+    "PHONE": r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})",
+    "IBAN": r"^[A-Z]{2}\d{2}",
+    "CARD": r"^\d",
+}
+_SPACED, _LOWERED = ("CARD", "SSN", "PHONE", "IBAN"), ("EMAIL", "IP6")
+_SIGN = "[^A-Za-z0-9+]"
 
 
 def _type(match: Column) -> Column:
@@ -54,7 +67,8 @@ def _type(match: Column) -> Column:
 
 
 def _entities(match: Column) -> Column:
-    """A match's entities in order: (lead, kind, value). A name gives one for the given name,
+    """A match's entities in order: (lead, kind, value, shape), the value without what belongs
+    to its spelling, the shape as written. A name gives one for the given name,
     if there is one, and one for the surname, so that both stay the same in other mentions. A
     number whose check digit is wrong is no card: it is all lead, with a null kind."""
     words = F.split(match, " ")
@@ -65,11 +79,12 @@ def _entities(match: Column) -> Column:
     surname = F.when(cyrillic, F.concat(F.lit("SURNAME_"), sex, F.lit("_CYR"))).otherwise(F.lit("SURNAME"))
     lead = F.concat(words[0], F.lit(" "))
 
-    def one(a, kind, value):
-        return F.struct(a.alias("lead"), kind.alias("kind"), value.alias("value"))
+    def one(a, kind, value, shape=None):
+        return F.struct(a.alias("lead"), kind.alias("kind"), value.alias("value"), (value if shape is None else shape).alias("shape"))
 
     kind = _type(match)
-    plain = one(F.lit(""), kind, F.when(kind == "EMAIL", F.lower(match)).otherwise(match))
+    value = F.when(kind.isin(*_LOWERED), F.lower(match)).when(kind.isin(*_SPACED), F.regexp_replace(match, _SIGN, "")).otherwise(match)
+    plain = one(F.lit(""), kind, value, match)
     named = F.when(
         F.size(words) > 2, F.array(one(lead, given, F.get(words, F.lit(1))), one(F.lit(" "), surname, F.get(words, F.lit(2))))
     ).otherwise(F.array(one(lead, surname, F.get(words, F.lit(1)))))
@@ -93,7 +108,7 @@ def _letters(key, kind, value, turn) -> Column:
     tail = F.when(kind == "EMAIL", F.regexp_extract(value, r"\.[^.]*$", 0)).otherwise(F.lit(""))
     body = F.substr(value, F.length(head) + 1, F.length(value) - F.length(head) - F.length(tail))
     body = F.concat(*[F.lit("0")] * max(0, (turn - 8) // 4), body) if turn >= 12 else body
-    hexed = value.rlike(r"\A[0-9a-f]{32,}\z")
+    hexed = value.rlike(r"\A[0-9a-f]{32,}\z") | (kind == "IP6")
 
     def other(c, i):
         n = _draw(key, kind, value, turn, i)
@@ -124,6 +139,23 @@ def _card(text: Column) -> Column:
     return F.concat(front, F.pmod(F.lit(10) - off, F.lit(10)).cast("string"))
 
 
+def _iban(text: Column) -> Column:
+    """The two digits behind the country set so that the number leaves 1 when divided by 97."""
+    country, rest = F.substring(text, 1, 2), F.substring(text, 5, 64)
+    step = lambda a, c: F.when(c.rlike("[0-9]"), a * 10 + F.ascii(c) - 48).otherwise(a * 100 + F.ascii(c) - 55) % 97
+    left = F.aggregate(F.split(F.concat(rest, country, F.lit("00")), ""), F.lit(0), step)
+    return F.concat(country, F.lpad((F.lit(98) - left).cast("string"), 2, "0"), rest)
+
+
+def _placed(kind: Column, shape: Column, surrogate: Column) -> Column:
+    """A surrogate in the spelling of a mention: with its separators. Surrogates of addresses
+    are in lower case whatever the mention."""
+    at = lambda i: F.length(F.regexp_replace(F.substr(shape, F.lit(1), i + 1), _SIGN, ""))
+    spaced = F.transform(F.split(shape, ""), lambda c, i: F.when(c.rlike(_SIGN), c).otherwise(F.substr(surrogate, at(i), F.lit(1))))
+    spaced = F.concat(F.array_join(spaced, ""), F.substr(surrogate, F.length(F.regexp_replace(shape, _SIGN, "")) + 1, F.lit(64)))
+    return F.when(kind.isin(*_SPACED), spaced).otherwise(surrogate)
+
+
 def _name(key, kind, value, turn) -> Column:
     """A name of the kind's list; from the third round on several, joined by hyphens."""
     out = None
@@ -140,7 +172,7 @@ def propose(key: str, kind: Column, value: Column, turn: int) -> Column:
     octet = lambda c, i: (F.pmod(_draw(key, kind, value, turn, i), F.lit(254)) + 1).cast("string")
     ip = F.array_join(F.transform(F.split(value, r"\."), octet), ".")
     text = _letters(key, kind, value, turn)
-    return F.when(kind == "IP", ip).when(kind == "CARD", _card(text)).when(kind.isin(*NAMES), _name(key, kind, value, turn)).otherwise(text)
+    return F.when(kind == "IP", ip).when(kind == "CARD", _card(text)).when(kind == "IBAN", _iban(text)).when(kind.isin(*NAMES), _name(key, kind, value, turn)).otherwise(text)
 
 
 def assign(entities: DataFrame, key: str, most_turns: int = 200) -> DataFrame:
@@ -162,30 +194,46 @@ def assign(entities: DataFrame, key: str, most_turns: int = 200) -> DataFrame:
     raise RuntimeError("no distinct surrogates were found")
 
 
-def replace(df: DataFrame, text_col: str = "text", key: str = "surrogate-key-1", count_col: str | None = None) -> DataFrame:
-    """``df`` with the entities of ``text_col`` replaced; with ``count_col``, also a column
-    with their number.
+#: Where the caller gives no key: a setting of the session, so that no secret stands in code.
+KEY_CONF = "spark.strata.pii.key"
+
+
+def _bound(part: Column, told: Column) -> Column:
+    """The text between matches with the names that titles show in the same text replaced:
+    first by marks, then the marks by surrogates, so that no surrogate is replaced again."""
+    names = F.filter(told, lambda m: m["kind"].isin(*NAMES))
+    find = lambda m: F.concat(F.lit(r"(?<!\p{L})"), m["shape"], F.lit(r"(?!\p{L})"))
+    mark = lambda m: F.concat(F.lit("\ue000"), m["pos"].cast("string"), F.lit("."), m["sub"].cast("string"), F.lit("\ue001"))
+    marked = F.aggregate(names, part, lambda t, m: F.regexp_replace(t, find(m), mark(m)))
+    filled = F.aggregate(names, marked, lambda t, m: F.replace(t, mark(m), m["surrogate"]))
+    return F.when(F.size(names) > 0, filled).otherwise(part)
 
-    Null and empty texts, and texts without entities, stay as they are and are not shuffled.
-    The replacement depends on the text alone, so equal texts stay equal, whatever their ids; it
-    is worked out once for each distinct text. Other columns pass through. An empty table gives
-    no rows.
+
+def replace(df: DataFrame, text_col: str = "text", key: str | None = None, count_col: str | None = None) -> DataFrame:
+    """``df`` with the entities of ``text_col`` replaced; with ``count_col``, also a column
+    with the number of matches replaced.
+
+    Surrogates are keyed by ``key``, else by the session's ``KEY_CONF``, else by a fixed text that
+    keeps no secret. Null and empty texts, and texts without entities, stay as they are and are
+    not shuffled. The replacement depends on the text alone, so equal texts stay equal, whatever
+    their ids; it is worked out once for each distinct text. Other columns pass through. An
+    empty table gives no rows. Texts are searched once: matches are stored beside the rows, and
+    only texts with matches are cut at them.
     """
-    text = df[text_col]
-    row = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), text.alias("text"))
-    found = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
-    hit = row.filter(found).withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
-    marks = hit.select("key", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("marks")).dropDuplicates(["key"])
-    each = marks.select("key", F.posexplode("marks").alias("pos", "mark"))
+    key = key or df.sparkSession.conf.get(KEY_CONF, None) or "surrogate-key-1"
+    row = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[text_col].alias("text"))
+    row = stored(row.withColumn("marks", F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).select("row", "marks"), "pii-marked")
+    text, found = F.col("row")[text_col], F.coalesce(F.size("marks") > 0, F.lit(False))
+    hit = row.filter(found).withColumn("key", F.sha2(text.cast("binary"), 256))
+    each = hit.select("key", "marks").dropDuplicates(["key"]).select("key", F.posexplode("marks").alias("pos", "mark"))
     each = stored(each.select("key", "pos", F.posexplode(_entities(F.col("mark"))).alias("sub", "e")).select("key", "pos", "sub", "e.*"), "pii-mentions")
     table = assign(each.filter("kind is not null"), key)
-    told = each.join(table, ["kind", "value"], "left").groupBy("key")
-    told = told.agg(F.sort_array(F.collect_list(F.struct("pos", "sub", "lead", "surrogate"))).alias("told"))  # of one text
-    parts = F.split(F.col("text"), ANY, -1)
+    told = each.join(table, ["kind", "value"], "left").withColumn("surrogate", _placed(F.col("kind"), F.col("shape"), F.col("surrogate")))
+    told = told.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", "sub", "lead", "surrogate", "kind", "shape"))).alias("told"))  # of one text
+    joined = hit.join(told, "key").withColumn("parts", F.transform(F.split(text, ANY, -1), lambda p: _bound(p, F.col("told"))))
     put = lambda m: F.concat(F.when(m["sub"] == 0, F.get(F.col("parts"), m["pos"])).otherwise(F.lit("")), m["lead"], F.coalesce(m["surrogate"], F.lit("")))
-    joined = hit.join(told, "key").withColumn("parts", parts)
     new = F.concat(F.array_join(F.transform("told", put), ""), F.element_at("parts", -1))
     n = F.size(F.filter("told", lambda m: (m["sub"] == 0) & m["surrogate"].isNotNull()))
     extra = [count_col] if count_col else []
     cols = lambda t, k: [(t if c == text_col else F.col("row")[c]).alias(c) for c in df.columns] + [k.cast("int").alias(x) for x in extra]
-    return row.filter(~found).select(*cols(F.col("text"), F.lit(0))).unionAll(joined.select(*cols(new, n)))
+    return row.filter(~found).select(*cols(text, F.lit(0))).unionAll(joined.select(*cols(new, n)))

@@ -1,12 +1,13 @@
 """Links by content, doubles, whole bin completion, token ids of every letter, pipeline stages on odd rows."""
 
 import math
+import re
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from strata.llm import hpyp, packing, pq, setjoin, stages
+from strata.llm import hpyp, packing, pii, pq, setjoin, stages
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -156,3 +157,48 @@ def test_predictions_add_up_to_one():
         back = (state.strength + state.discount * state.tables[:contexts]) / (state.strength + state.customers[:contexts])
         unknown = (state.strength + state.root_discount * state.root_tables) / (state.known + 1) / (state.strength + state.root_customers)
         assert np.allclose(total + back * (root + unknown), 1, atol=1e-9)
+
+
+# ------------------------------------------------------------------ surrogates
+def _replaced(spark, *texts, key=None):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    return [r.text for r in pii.replace(df, key=key).orderBy("i").collect()]
+
+
+def test_spellings_of_one_number_are_one_entity(spark):
+    (t,) = _replaced(spark, "4111 1111 1111 1111, 4111111111111111, 4111-1111-1111-1111; +49 30 1234567, +49-30-1234567, +49 (30) 1234567; DE89370400440532013000 DE89 3704 0044 0532 0130 00")
+    cards, phones, ibans = t.split("; ")
+    digits = [re.sub("[^0-9]", "", c) for c in cards.split(", ")]
+    assert len(set(digits)) == 1 and digits[0] != "4" + "1" * 15 and [len(c) for c in cards.split(", ")] == [19, 16, 19]
+    assert sum(int(d) if i % 2 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(digits[0])) % 10 == 0
+    phones = phones.split(", ")
+    assert len({re.sub("[^0-9+]", "", p) for p in phones}) == 1 and all(p.startswith("+49") for p in phones)
+    assert [re.sub("[0-9]", "9", p) for p in phones] == ["+99 99 9999999", "+99-99-9999999", "+99 (99) 9999999"] and "1234567" not in t
+    whole, spaced = ibans[:22], ibans[23:]
+    assert spaced.replace(" ", "") == whole != "DE89370400440532013000" and spaced[4] == " " and whole.startswith("DE")
+    assert int("".join(str(int(c, 36)) for c in whole[4:] + whole[:4])) % 97 == 1
+
+
+def test_names_are_bound_in_their_text(spark):
+    one, other = _replaced(spark, "Mrs. Anna Smith came, then Anna Smith left; Smithson stayed, as did Smith.", "Smith is a smith, Anna is not.")
+    given, surname = re.match(r"Mrs\. (\S+) (\S+) came", one).groups()
+    assert one == f"Mrs. {given} {surname} came, then {given} {surname} left; Smithson stayed, as did {surname}." and "Anna" not in one
+    assert other == "Smith is a smith, Anna is not."
+
+
+def test_addresses(spark):
+    a, b, c = _replaced(spark, "Anna.Smith@Mail.com and anna.smith@mail.com", "at 2001:db8:85a3:0:0:8a2e:370:7334 or fe80::1ff:fe23:4567:890a", "12:30:45, a::b is c++, 1:2")
+    first, second = a.split(" and ")
+    assert first == second and re.fullmatch(r"\w+\.\w+@\w+\.com", first) and "anna" not in second
+    assert re.fullmatch(r"at [0-9a-f:]+ or [0-9a-f:]+", b) and "8a2e" not in b and "fe23" not in b
+    assert c.startswith("12:30:45, ") and c.endswith(" is c++, 1:2")
+
+
+def test_the_key_comes_from_outside(spark):
+    text = "write to anna.smith@mail.com"
+    default, mine = _replaced(spark, text)[0], _replaced(spark, text, key="k")[0]
+    spark.conf.set(pii.KEY_CONF, "k")
+    try:
+        assert _replaced(spark, text)[0] == mine != default
+    finally:
+        spark.conf.unset(pii.KEY_CONF)
