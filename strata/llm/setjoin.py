@@ -186,7 +186,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
                 parts = np.split(h, np.cumsum(np.bincount(row, minlength=b.num_rows))[:-1])
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([p.tobytes() for p in parts], pa.binary())], ["node", "hashes"])
 
-    may = Bitmap(ids).split(docs.select("doc", "t", "text"), True).join(nodes, ["doc", "t"]).dropDuplicates(["node"])
+    may = Bitmap(ids).split(docs.select("doc", "t", "text"), True).join(nodes, ["doc", "t"]).dropDuplicates(["doc", "t"])
     made = stored(may.select("node", "text").mapInArrow(sets, "node long, hashes binary"), "join-sets")
     both = pairs.join(made.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
     both = both.join(made.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
@@ -292,7 +292,8 @@ def superseded(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 ORACLE = r"""
 WITH RECURSIVE w AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[ 	-]+'), lambda x: x <> '') AS ws FROM documents),
+        '[ 	-
+]+'), lambda x: x <> '') AS ws FROM documents),
 g AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
         ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS s FROM w),
 e AS MATERIALIZED (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS k FROM g),
