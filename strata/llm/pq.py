@@ -114,7 +114,7 @@ def dealt(points: DataFrame, index: Index | None, radius: float) -> DataFrame:
                     own[i], probes[i] = a, np.flatnonzero(row).tolist()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own), pa.array(probes, pa.list_(pa.int64()))], [*b.schema.names, "list", "probes"])
 
-    rows = points.select("point", F.col("label").cast("string").alias("label"), "dim", "n", "vector")
+    rows = points.select("point", F.col("label").cast("string").alias("label"), "dim", "n", F.col("vector").cast("array<double>").alias("vector"))
     rows = stored(rows.mapInArrow(assign, f"{shape}, list long, probes array<long>"), "pq-points")
     key = ["label", "dim", "list"]
     other = rows.withColumn("list", F.explode("probes"))
