@@ -5,24 +5,29 @@ of inverse document frequency. A document keeps its distinct terms of the lexico
 and hashes those that fall in each of several randomised subsets of the lexicon; the list of
 hashes is the fingerprint. Two documents are alike in so far as their hashes agree.
 
-Terms are counted and looked up by a hash to ``SLOTS`` slots, so that the lexicon is a table of
-``SLOTS`` bytes however large the collection is. Subsets come in levels: those of level l
+Terms are counted and looked up by their 64-bit hashes, so frequencies are those of single terms.
+The lexicon is bounded: a term of it is in ``FEWEST`` of the documents at least, so it holds at
+most (distinct terms a document, on average) / ``FEWEST`` terms, whatever the vocabulary. It enters
+the plan as a constant array of small groups. Subsets come in levels: those of level l
 divide a sample of 4**-l of the lexicon, so that both a short and a very long document have
 subsets that hold about one of its terms; there, agreement estimates the share of common terms.
 """
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import SPACE, shuffle_partitions
 
-SLOTS = 1 << 20
 LEVELS, CELLS = 6, 16
 #: A term is in the lexicon if this share of the documents holds it: between the two. At most
-#: (terms a document) / FEWEST slots can be: the list that comes to the driver is bounded.
+#: (terms a document) / FEWEST terms can be: the list that comes to the driver is bounded.
 FEWEST, MOST = 1e-3, 0.2
+RANGE_BYTES = 64 << 20  # text of a range of ids
 
 
 def terms(text: Column) -> Column:
@@ -31,21 +36,17 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(w, lambda x: F.xxhash64(F.btrim(x, F.lit(".,;:!?\"'()[]")))))
 
 
-def _slot(h: Column) -> Column:
-    return F.pmod(h, F.lit(SLOTS)).cast("int")
-
-
-def lexicon(df: DataFrame, text_col: str = "text", fewest: float = FEWEST, most: float = MOST) -> bytearray:
-    """A byte for each slot: 1 if a term of it is in the lexicon. Frequencies cover all rows
-    of ``df``; a lexicon of an empty table is empty."""
+def lexicon(df: DataFrame, text_col: str = "text", fewest: float = FEWEST, most: float = MOST) -> list[list[int]]:
+    """Hashes of the terms of the lexicon: group g holds those that leave g modulo the number of
+    groups. Frequencies cover all rows of ``df``; a lexicon of an empty table is empty."""
     n = df.count()
-    slots = df.select(F.explode(F.array_distinct(F.transform(terms(df[text_col]), _slot))).alias("slot"))
-    df_of = slots.groupBy("slot").count()
+    df_of = df.select(F.explode(terms(df[text_col])).alias("term")).groupBy("term").count()
     inside = df_of.filter((F.col("count") >= F.lit(fewest * n)) & (F.col("count") <= F.lit(max(1.0, most * n))))
-    table = bytearray(SLOTS)
-    for r in inside.select("slot").toLocalIterator():
-        table[r[0]] = 1
-    return table
+    listed = [r[0] for r in inside.select("term").toLocalIterator()]
+    groups: list[list[int]] = [[] for _ in range(max(1, len(listed)))]
+    for h in listed:
+        groups[h % len(groups)].append(h)
+    return groups
 
 
 def _let(value: Column, use) -> Column:
@@ -53,13 +54,13 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def fingerprint(text: Column, lex: bytearray) -> Column:
+def fingerprint(text: Column, lex: list[list[int]]) -> Column:
     """Array of ``LEVELS * CELLS`` hashes (0: the document has no term in the subset). A text
     without any term of the lexicon is hashed by all its terms, so equal texts always agree."""
-    known = F.lit(bytes(lex))
+    known = F.from_json(F.lit(json.dumps(lex, separators=(",", ":"))), "array<array<bigint>>")  # folded once
 
     def listed(h):
-        return F.substring(known, _slot(h) + 1, 1) == F.lit(b"\x01")
+        return F.array_contains(F.get(known, F.pmod(h, F.lit(len(lex))).cast("int")), h)
 
     def chosen(found):
         return _let(F.filter(found, listed), lambda kept: F.when(F.size(kept) > 0, kept).otherwise(found))
@@ -108,24 +109,28 @@ def as_text(fp: Column) -> Column:
     return F.array_join(F.transform(fp, lambda h: F.lpad(F.lower(F.hex(h.bitwiseAND(0xFFFFFFFF))), 8, "0")), "")
 
 
-def with_next(d: DataFrame) -> DataFrame:
-    """``d`` (doc_id, text, fp) with ``next_text`` and ``next_fp`` of the row that follows in
-    order of id, then text; after the last comes the first. Rows are dealt into ranges of
-    ids; only the first row of each range is moved besides."""
-    parts = max(1, shuffle_partitions(d.sparkSession))
+def with_next(d: DataFrame, fp, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``d`` (doc_id, text) with ``fp``, a function of the text, and ``next_text`` and ``next_fp`` of
+    the row that follows in order of id, then text; after the last comes the first. Rows are dealt
+    into ranges of ids, as many as the texts' bytes ask for; only the first row of each range is
+    moved besides."""
+    size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, shuffle_partitions(d.sparkSession), math.ceil(size / range_bytes))
     bounds = None
     if parts > 1:
         bounds = d.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0]
     cuts = F.array(*[F.lit(b).cast("long") for b in sorted(set(bounds or [0]))])
     d = d.withColumn("range", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.size(F.filter(cuts, lambda b: b <= F.col("doc_id")))))
-    d = d.withColumn("own", F.struct("doc_id", "text", "fp"))
-    inside = d.withColumn("next", F.lead("own").over(Window.partitionBy("range").orderBy("doc_id", "text")))
-    heads = d.groupBy("range").agg(F.min("own").alias("head"))  # a row for each range
+    order = Window.partitionBy("range").orderBy("doc_id", "text")
+    dealt = d.withColumn("fp", fp(F.col("text"))).repartition(parts, "range")
+    inside = dealt.withColumns({"own_next": F.lead("text").over(order), "own_next_fp": F.lead("fp").over(order)})
+    heads = d.groupBy("range").agg(F.min(F.struct("doc_id", "text")).alias("head"))  # a row for each range
+    heads = heads.select("range", F.struct("head.text", fp(F.col("head.text")).alias("fp")).alias("head"))
     everyone = Window.orderBy("range")
     first = F.first("head").over(everyone)
     follow = heads.select(F.col("range").alias("of_range"), F.coalesce(F.lead("head").over(everyone), first).alias("head"))
-    out = inside.join(follow, F.col("range") == F.col("of_range"), "left").withColumn("next", F.coalesce("next", "head"))
-    return out.select("doc_id", "text", "fp", F.col("next.text").alias("next_text"), F.col("next.fp").alias("next_fp"))
+    out = inside.join(follow, F.col("range") == F.col("of_range"), "left")
+    return out.select("doc_id", "text", "fp", F.coalesce("own_next", "head.text").alias("next_text"), F.coalesce("own_next_fp", "head.fp").alias("next_fp"))
 
 
 def edited(text: Column, next_text: Column) -> Column:
@@ -143,7 +148,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     lex = lexicon(df, text_col, **band)
     d = df.select(df[id_col].alias("doc_id"), F.coalesce(df[text_col], F.lit("")).alias("text"))
-    d = with_next(d.withColumn("fp", fingerprint(F.col("text"), lex)))
+    d = with_next(d, lambda text: fingerprint(text, lex))
     d = d.withColumn("edited", edited(F.col("text"), F.col("next_text")))
     d = d.withColumn("edited_fp", fingerprint(F.col("edited"), lex))
     return d.select(

@@ -5,9 +5,11 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
-from strata.llm import hpyp, packing, pii, pq, setjoin, stages
+from strata.llm import hpyp, imatch, packing, pii, pq, setjoin, stages
+from strata.llm.common import table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -202,3 +204,73 @@ def test_the_key_comes_from_outside(spark):
         assert _replaced(spark, text)[0] == mine != default
     finally:
         spark.conf.unset(pii.KEY_CONF)
+
+
+# ------------------------------------------------------------------ I-Match
+def _xx(*parts):
+    seed = 42
+    for p in parts:
+        seed = xxhash.xxh64_intdigest(p, seed & (1 << 64) - 1)
+    return seed - (1 << 64) if seed >= 1 << 63 else seed
+
+
+def _terms(text):
+    return {_xx(w.strip(".,;:!?\"'()[]").encode()) for w in re.split(r"[ \t-\r]+", text.lower())}
+
+
+def _imatch(texts, fewest, most):
+    """Lexicon and fingerprints by the definition, a text at a time."""
+    df_of = {}
+    for t in texts:
+        for h in _terms(t):
+            df_of[h] = df_of.get(h, 0) + 1
+    lex = {h for h, c in df_of.items() if fewest * len(texts) <= c <= max(1.0, most * len(texts))}
+    return lex, _by_lexicon(texts, lex)
+
+
+def _by_lexicon(texts, lex):
+    def hashed(t):
+        ts = _terms(t)
+        some, out = sorted(_xx(h.to_bytes(8, "little", signed=True), (7).to_bytes(4, "little")) for h in (ts & lex or ts)), []
+        for level in range(imatch.LEVELS):
+            if level:
+                some = [h for h in some if h >> 2 * (level - 1) & 3 == 0]
+            cells = [[h for h in some if (h >> 24) % imatch.CELLS == c] for c in range(imatch.CELLS)]
+            out += [_xx(*[h.to_bytes(8, "little", signed=True) for h in c]) if c else 0 for c in cells]
+        return out
+
+    return [hashed(t) for t in texts]
+
+
+def _alike(a, b):
+    first = next((i for i, (x, y) in enumerate(zip(a, b, strict=True)) if x == y == 0), 0)
+    for start in (first // imatch.CELLS * imatch.CELLS, 0):
+        pairs = [(x, y) for x, y in zip(a[start:], b[start:], strict=True) if x or y]
+        if pairs:
+            return sum(x == y for x, y in pairs) / len(pairs)
+    return 1.0
+
+
+def test_imatch_against_the_definition(spark):
+    df = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    local = sorted(map(tuple, df.collect()))
+    texts = [t or "" for _, t in local]
+    lex, fps = _imatch(texts, 0.02, 0.2)
+    assert {h for g in imatch.lexicon(df, "text", 0.02, 0.2) for h in g} == lex and len(lex) > 100
+    got = sorted(imatch.fingerprints(df, fewest=0.02, most=0.2).collect(), key=lambda r: r.doc_id)
+    shown = lambda fp: "".join(f"{h & 0xFFFFFFFF:08x}" for h in fp)
+    assert [r.fingerprint for r in got] == [shown(fp) for fp in fps]
+    after = texts[1:] + texts[:1]
+    changed = [t[: len(t) - len(t) // 4] + n[: len(t) // 4] for t, n in zip(texts, after, strict=True)]
+    assert np.allclose([r.near_next for r in got], [_alike(a, b) for a, b in zip(fps, fps[1:] + fps[:1], strict=True)])
+    edited = _by_lexicon(changed, lex)
+    assert [r.edited_fingerprint for r in got] == [shown(fp) for fp in edited]
+    assert np.allclose([r.near_edited for r in got], [_alike(a, b) for a, b in zip(fps, edited, strict=True)])
+
+
+def test_imatch_next_rows_over_many_ranges(spark):
+    rows = [(None, "first of all"), (3, "c d e"), (3, "a b"), (9, ""), (1, None), (7, "x " * 50), (5, "c d e")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").fillna("", "text")
+    got = {(r.doc_id, r.text): r.next_text for r in imatch.with_next(d, lambda t: imatch.fingerprint(t, [[]]), range_bytes=8).collect()}
+    order = [(None, "first of all"), (1, ""), (3, "a b"), (3, "c d e"), (5, "c d e"), (7, "x " * 50), (9, "")]
+    assert got == {k: n[1] for k, n in zip(order, order[1:] + order[:1], strict=True)}
