@@ -1,22 +1,24 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
-Every token is a customer of the restaurant of its context, a hash of the word before it to one
-of ``CONTEXTS``; all context restaurants share the root as their parent, whose base is uniform
-over the known words and one unknown. In a sweep all customers of each dish, in the contexts and
-at the root, stand up and are seated anew: the number of a dish's tables is drawn exactly, given
-what restaurants share, so no seat is left over from the start. Predictive probabilities are
-averaged over samples.
+Every token is a customer of the restaurant of the word before it, known by its 64-bit hash; all
+context restaurants share the root as their parent, whose base is uniform over the known words
+and one unknown. In a sweep all customers of each dish, in the contexts and at the root, stand up
+and are seated anew: the number of a dish's tables is drawn exactly, given what restaurants
+share, so no seat is left over from the start. Predictive probabilities are averaged over samples.
 
 Spark deals tokens by word, packed in arrays: a bucket holds all that is said about its words in
-every context, so a dish's tables and the root's are local. What restaurants share (their
-customers and tables) is a table of fixed size, summed between sweeps. Sweeps are seeded, so a
-lost task makes the same seating again.
+every context, so a dish's tables and the root's are local. What a context's dishes share (its
+customers and tables) lies in shards of contexts: after a sweep each bucket sends a shard the
+tables of the contexts that it has there, in an order fixed once, the shard adds them up, and the
+sums go back the same way. Only a few sums over everything come to the driver. Each sweep's seats
+are written to the shared folder, and sweeps are seeded, so a lost task makes the same seating
+again.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -28,12 +30,14 @@ from pyspark.sql import functions as F
 from strata.llm.common import fold, on_workers, shuffle_partitions, stored
 from strata.llm.words import U, mix, pieces_of, span_hash, split_words
 
-CONTEXTS, CHUNKS = 1 << 16, 16
 BUCKET_BYTES, HELD_TOKENS, HELD_DOCS = 10 << 20, 1_500_000, 30_000
 EXACT, DRAWN = 512, 500_000  # customers of a dish by table, customers drawn for at a time
 _END, _START, _HELD_OUT = U(0x0E0D), U(0x57A7), 0x8000
 _FIELDS = ("words", "pairs", "ctx", "count", "posts", "part", "doc")
-_TYPES = ("<u8", "<u4", "<u2", "<u4", "<u4", "<u4", "<u2")
+_TYPES = ("<u8", "<u4", "<u4", "<u4", "<u4", "<u4", "<u2")  # ctx: place among the bucket's contexts
+_DEALT = ("<u8", "<u4", "<u8", "<u4", "<u2")  # words, pairs a word, contexts, tokens a pair, documents
+_NOTE = "bucket long, kind int, shard int, body binary, stats array<double>"
+_TOTAL, _CUSTOMERS, _SENT, _TABLES, _ROOT, _STATS = range(6)  # kinds of notes
 _PERSON = np.dtype([("doc_id", "<i8"), ("no_id", "u1"), ("n", "<i8"), ("held_out", "u1")])
 
 
@@ -60,7 +64,7 @@ def _tokens(col: pa.Array):
     prev = np.empty_like(tok)
     prev[1:] = tok[:-1]
     prev[ends - w.counts] = _START
-    return np.repeat(np.arange(rows), w.counts + 1), tok, (mix(prev) % U(CONTEXTS)).astype(np.uint16), w.counts
+    return np.repeat(np.arange(rows), w.counts + 1), tok, mix(prev), w.counts
 
 
 def _deal(docs: DataFrame, buckets: int) -> DataFrame:
@@ -81,10 +85,12 @@ def _deal(docs: DataFrame, buckets: int) -> DataFrame:
             part = (pid << 24) + turn
             ids, blobs = [-1 - part], [np.array(people, _PERSON).tobytes()]
             for lo, hi in zip(cuts, np.append(cuts[1:], len(b)), strict=True):
-                t = tok[lo:hi]
-                at = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
-                n = np.diff(np.append(at, hi - lo)).astype("<u4")
-                parts = [_pack(t[at]), _pack(n), _pack(ctx[lo:hi]), _pack(doc[lo:hi])]
+                t, c = tok[lo:hi], ctx[lo:hi]
+                word = np.append(True, t[1:] != t[:-1])
+                first = np.flatnonzero(word | np.append(True, c[1:] != c[:-1]))
+                pairs = np.diff(np.append(np.flatnonzero(word[first]), len(first)))
+                made = (t[word], pairs, c[first], np.diff(np.append(first, hi - lo)), doc[lo:hi])
+                parts = [_pack(x.astype(k)) for x, k in zip(made, _DEALT, strict=True)]
                 blobs.append(b"".join(len(p).to_bytes(8, "little") + p for p in parts))
                 ids.append(int(b[lo]))
             held.clear()
@@ -110,26 +116,27 @@ def _deal(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket long, part long, tokens binary")
 
 
-def _gather(table: pa.Table) -> pa.Table:
+def _gather(table: pa.Table, shards: int) -> pa.Table:
     """All parts of a bucket as one row of arrays: words, pairs a word, and for each pair of
-    word and context its training count and its postings (part, document)."""
-    names = ["bucket", "parts", *_FIELDS, "people"]
+    word and context its training count and its postings (part, document). ``keys`` are the
+    bucket's contexts in order of shard, ``cuts`` how many are in each shard."""
+    names = ["bucket", "parts", *_FIELDS, "keys", "cuts", "people"]
     if table.column("bucket")[0].as_py() < 0:
-        none = [pa.nulls(1, pa.binary()) for _ in _FIELDS]
+        none = [pa.nulls(1, pa.binary()) for _ in (*_FIELDS, "keys", "cuts")]
         ids = pa.array([table.column("part").to_pylist()], pa.list_(pa.int64()))
         return pa.table([table.column("bucket"), ids, *none, table.column("tokens")], names)
     w, c, d, p = [], [], [], []
     parts = sorted(zip(table.column("part").to_pylist(), table.column("tokens").to_pylist(), strict=True))
     for k, (_, blob) in enumerate(parts):
         got, at = [], 0
-        for kind in ("<u8", "<u4", "<u2", "<u2"):
+        for kind in _DEALT:
             n = int.from_bytes(blob[at : at + 8], "little")
             got.append(_unpack(blob[at + 8 : at + 8 + n], kind))
             at += 8 + n
-        w.append(np.repeat(got[0], got[1]))
-        c.append(got[2])
-        d.append(got[3])
-        p.append(np.full(len(got[2]), k, "<u4"))
+        w.append(np.repeat(np.repeat(got[0], got[1]), got[3]))
+        c.append(np.repeat(got[2], got[3]))
+        d.append(got[4])
+        p.append(np.full(len(got[4]), k, "<u4"))
     w, c, d, p = (np.concatenate(x) for x in (w, c, d, p))
     order = np.lexsort((p, c, w))
     w, c, d, p = w[order], c[order], d[order], p[order]
@@ -138,8 +145,13 @@ def _gather(table: pa.Table) -> pa.Table:
     first = np.flatnonzero(new_pair)
     train = np.add.reduceat((d & _HELD_OUT) == 0, first)
     pairs = np.add.reduceat(new_pair.astype(np.int64), np.flatnonzero(new_word))
-    made = (w[new_word], pairs, c[first], train, np.diff(np.append(first, len(w))), p, d)
-    row = [pa.array([_pack(x.astype(t))], pa.binary()) for x, t in zip(made, _TYPES, strict=True)]
+    keys, ctx = np.unique(c[first], return_inverse=True)
+    shard = (keys % U(shards)).astype(np.int64)
+    by_shard = np.argsort(shard, kind="stable")
+    place = np.empty(len(keys), np.int64)
+    place[by_shard] = np.arange(len(keys))
+    made = (w[new_word], pairs, place[ctx], train, np.diff(np.append(first, len(w))), p, d, keys[by_shard], np.bincount(shard, minlength=shards))
+    row = [pa.array([_pack(x.astype(t))], pa.binary()) for x, t in zip(made, (*_TYPES, "<u8", "<u4"), strict=True)]
     ids = pa.array([[k for k, _ in parts]], pa.list_(pa.int64()))
     return pa.table([pa.array([table.column("bucket")[0].as_py()], pa.int64()), ids, *row, pa.nulls(1, pa.binary())], names)
 
@@ -147,7 +159,7 @@ def _gather(table: pa.Table) -> pa.Table:
 # ------------------------------------------------------------------ seating
 @dataclass
 class Shared:
-    """What all buckets share before a sweep."""
+    """What all buckets share before a sweep; of contexts, what concerns one bucket."""
 
     customers: np.ndarray  # of each context restaurant
     tables: np.ndarray
@@ -253,7 +265,8 @@ def table_counts(c: np.ndarray, new_weight: np.ndarray, discount: float, rng) ->
 
 
 class Seating:
-    """A bucket's dishes: pairs of word and context, and the words at the root."""
+    """A bucket's dishes: pairs of word and context, and the words at the root. ``alone`` counts, for
+    each word, pairs with one customer that the row leaves out: their tables never change."""
 
     def __init__(self, row: dict):
         self.words, pairs, self.ctx, count, self.posts, self.part, self.doc = (_unpack(row[f], t) for f, t in zip(_FIELDS, _TYPES, strict=True))
@@ -263,10 +276,11 @@ class Seating:
         self.tables = np.minimum(self.count, 1)
         self.many = np.flatnonzero(self.count > 1)
         self.root_tables = None
+        self.alone = _unpack(row["alone"], "<u4") if row.get("alone") else 0
 
     def root(self) -> np.ndarray:
         """Customers of each word at the root: the tables of its pairs."""
-        return np.bincount(self.word, self.tables, len(self.words)).astype(np.int64)
+        return np.bincount(self.word, self.tables, len(self.words)).astype(np.int64) + self.alone
 
     def root_prob(self, s: Shared, tables: np.ndarray) -> np.ndarray:
         held = np.maximum(self.root() - s.root_discount * tables, 0)
@@ -296,50 +310,137 @@ class Seating:
         return (own + (s.strength + s.discount * s.tables[self.ctx]) * p) / (s.strength + s.customers[self.ctx])
 
 
-def _replay(row: dict, states: list[Shared]) -> Seating:
-    seat = Seating(row)
-    for turn, s in enumerate(states):
-        seat.sweep(s, turn)
-    return seat
+# ------------------------------------------------------------------ what contexts share
+def _notes(rows: list[tuple]) -> pa.Table:
+    """Rows of (bucket, kind, shard, body, stats)."""
+    types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.float64()))
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+    return pa.table([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], ["bucket", "kind", "shard", "body", "stats"])
+
+
+def _segments(cuts: bytes):
+    """(shard, from, to) of a bucket's contexts, by shard that has some."""
+    ends = np.cumsum(_unpack(cuts, "<u4").astype(np.int64))
+    return [(k, lo, hi) for k, (lo, hi) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)) if hi > lo]
 
 
-def _share(rows: DataFrame, states: list[Shared]) -> Shared:
-    """Runs the sweeps so far in every bucket and sums what restaurants share. Tables per
-    context are added up in Spark by chunk of contexts; the sums have a fixed size."""
-    held = rows.sparkSession.sparkContext.broadcast(states)
-    part = CONTEXTS // CHUNKS
+def _begin(rows: DataFrame) -> DataFrame:
+    """What each bucket tells the shards of its contexts (keys, customers, pairs), and its sums."""
 
     def run(batches):
-        cust, tabs, total = np.zeros(CONTEXTS), np.zeros(CONTEXTS), np.zeros(8)
         for b in batches:
             for row in b.to_pylist():
-                seat = _replay(row, held.value)
-                cust += np.bincount(seat.ctx, seat.count, CONTEXTS)
-                tabs += np.bincount(seat.ctx, seat.tables, CONTEXTS)
+                seat, keys = Seating(row), _unpack(row["keys"], "<u8")
+                cust, tabs = (np.bincount(seat.ctx, x, len(keys)).astype("<u8") for x in (seat.count, seat.tables))
                 r = seat.root()
-                rt = seat.root_tables if held.value else np.minimum(r, 1)
-                total += [(seat.train > 0).sum(), seat.train.sum(), r.sum(), rt.sum(), (seat.count == 1).sum(), (seat.count == 2).sum(), (r == 1).sum(), (r == 2).sum()]
-        out = [np.concatenate([cust[i * part : (i + 1) * part], tabs[i * part : (i + 1) * part], total if i == 0 else []]) for i in range(CHUNKS)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([_pack(x) for x in out], pa.binary())], ["chunk", "sums"])
-
-    def add(table):
-        x = np.sum([_unpack(b, "<f8") for b in table.column("sums").to_pylist()], 0)
-        return pa.table([table.column("chunk").slice(0, 1), pa.array([_pack(x)], pa.binary())], ["chunk", "sums"])
-
-    needed = rows.select("bucket", *_FIELDS[:5], F.lit(_pack(np.zeros(0))).alias("part"), F.lit(_pack(np.zeros(0))).alias("doc"))
-    got = needed.mapInArrow(run, "chunk int, sums binary").groupBy("chunk").applyInArrow(add, "chunk int, sums binary").collect()
-    cust, tabs, total = np.zeros(CONTEXTS), np.zeros(CONTEXTS), np.zeros(8)
-    for r in got:
-        x, k = _unpack(r["sums"], "<f8"), r["chunk"]
-        cust[k * part : (k + 1) * part], tabs[k * part : (k + 1) * part] = x[:part], x[part : 2 * part]
-        if k == 0:
-            total = x[2 * part :]
-    known, tokens, rc, rt, n1, n2, r1, r2 = total.tolist()
-    if states:
-        d, rd = states[0].discount, states[0].root_discount
-    else:  # discounts from the numbers of dishes seen once and twice
-        d, rd = (min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5 for a, b in ((n1, n2), (r1, r2)))
-    return Shared(cust, tabs, int(known), int(tokens), rc, rt, d, rd)
+                stats = [(seat.train > 0).sum(), seat.train.sum(), r.sum(), np.minimum(r, 1).sum(), (seat.count == 1).sum(), (seat.count == 2).sum(), (r == 1).sum(), (r == 2).sum()]
+                made = [(row["bucket"], k, _pack(keys[lo:hi]), _pack(cust[lo:hi]), _pack(tabs[lo:hi]), None) for k, lo, hi in _segments(row["cuts"])]
+                made.append((row["bucket"], -1, None, None, None, [float(x) for x in stats]))
+                types = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64()))
+                cols = [pa.array(list(c), t) for c, t in zip(zip(*made, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(cols, ["bucket", "shard", "keys", "customers", "tables", "stats"])
+
+    none = F.lit(_pack(np.zeros(0)))
+    needed = rows.select("bucket", *_FIELDS[:4], *[none.alias(f) for f in _FIELDS[4:]], "keys", "cuts")
+    return needed.mapInArrow(run, "bucket long, shard int, keys binary, customers binary, tables binary, stats array<double>")
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """A shard: who sends what, as places among its contexts, and the sums of a context."""
+    told = sorted(table.to_pylist(), key=lambda r: r["bucket"])
+    keys = [_unpack(r["keys"], "<u8") for r in told]
+    known, at = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = [_pack(np.bincount(at, np.concatenate([_unpack(r[c], "<u8") for r in told]), len(known)).astype("<u8")) for c in ("customers", "tables")]
+    row = ([told[0]["shard"]], [[r["bucket"] for r in told]], [[len(k) for k in keys]], [_pack(at.astype("<u4"))], [sums[0]], [sums[1]])
+    types = (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
+    return pa.table([pa.array(x, t) for x, t in zip(row, types, strict=True)], ["shard", "buckets", "sizes", "at", "customers", "tables"])
+
+
+def _give(row: dict, kind: int, sums: np.ndarray) -> list[tuple]:
+    """A shard's sums for each of its buckets, in the order in which that bucket has its contexts."""
+    at, out, lo = _unpack(row["at"], "<u4"), [], 0
+    for bucket, n in zip(row["buckets"], row["sizes"], strict=True):
+        out.append((bucket, kind, row["shard"], _pack(sums[at[lo : lo + n]].astype("<u8")), None))
+        lo += n
+    return out
+
+
+def _first_notes(shards: DataFrame) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                made = [n for kind, c in ((_TOTAL, "tables"), (_CUSTOMERS, "customers")) for n in _give(row, kind, _unpack(row[c], "<u8"))]
+                yield from _notes(made).to_batches()
+
+    return shards.mapInArrow(run, _NOTE)
+
+
+def _totals(sent: DataFrame, shards: DataFrame) -> DataFrame:
+    """Tables of each context after a sweep, for all buckets that have it: a pair has one table,
+    and the more that its bucket has sent."""
+
+    def add(key, told, own):
+        row = own.to_pylist()[0]
+        more = {r["bucket"]: _unpack(r["body"], "<u4") for r in told.to_pylist()}
+        at, tables = _unpack(row["at"], "<u4"), _unpack(row["tables"], "<u8").astype(np.int64)
+        sent = np.concatenate([more[b] if b in more else np.zeros(n, "<u4") for b, n in zip(row["buckets"], row["sizes"], strict=True)])
+        return _notes(_give(row, _TOTAL, tables + np.bincount(at, sent, len(tables)).astype(np.int64)))
+
+    return sent.filter(F.col("kind") == _SENT).groupBy("shard").cogroup(shards.groupBy("shard")).applyInArrow(add, _NOTE)
+
+
+def _by_kind(notes: pa.Table) -> dict[int, list[bytes]]:
+    """Bodies by kind, in order of shard."""
+    out: dict[int, list[bytes]] = {}
+    for r in sorted(notes.to_pylist(), key=lambda r: (r["kind"], r["shard"])):
+        out.setdefault(r["kind"], []).append(r["body"])
+    return out
+
+
+def _joined(bodies: list[bytes]) -> np.ndarray:
+    return np.concatenate([_unpack(x, "<u8") for x in bodies]).astype(np.float64)
+
+
+def _moving(rows: DataFrame) -> DataFrame:
+    """Rows of the pairs that a sweep can change, those of several customers."""
+
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                seat = Seating(row)
+                many, n = seat.many, len(seat.words)
+                alone = np.bincount(seat.word[seat.count == 1], minlength=n)
+                made = (np.zeros(n), np.bincount(seat.word[many], minlength=n), seat.ctx[many], seat.count[many], [], [], [])
+                body = [_pack(np.asarray(x).astype(t)) for x, t in zip(made, _TYPES, strict=True)]
+                cols = [pa.array([row["bucket"]], pa.int64()), *(pa.array([x], pa.binary()) for x in (*body, _pack(alone.astype("<u4")), row["cuts"]))]
+                yield pa.RecordBatch.from_arrays(cols, ["bucket", *_FIELDS, "alone", "cuts"])
+
+    none = F.lit(_pack(np.zeros(0)))
+    needed = rows.select("bucket", *_FIELDS[:4], *[none.alias(f) for f in _FIELDS[4:]], "cuts")
+    return needed.mapInArrow(run, "bucket long, " + ", ".join(f"{f} binary" for f in (*_FIELDS, "alone", "cuts")))
+
+
+def _sweep(rows: DataFrame, notes: DataFrame, before: Shared, turn: int) -> DataFrame:
+    """Notes of a sweep over every bucket: tables for the shards, the bucket's seats, its sums."""
+
+    def run(key, own, told):
+        row, got = own.to_pylist()[0], _by_kind(told)
+        seat, bucket = Seating(row), row["bucket"]
+        s = replace(before, tables=_joined(got[_TOTAL]))
+        if turn:
+            seat.tables, seat.root_tables = (_unpack(got[k][0], "<u4").astype(np.int64) for k in (_TABLES, _ROOT))
+        seat.sweep(s, turn)
+        more = np.bincount(seat.ctx, seat.tables - 1, len(s.tables)).astype("<u4")
+        out = [(bucket, _SENT, k, _pack(more[lo:hi]), None) for k, lo, hi in _segments(row["cuts"]) if more[lo:hi].any()]
+        out += [(bucket, k, -1, _pack(x.astype("<u4")), None) for k, x in ((_TABLES, seat.tables), (_ROOT, seat.root_tables))]
+        return _notes([*out, (bucket, _STATS, -1, None, [float(seat.root().sum()), float(seat.root_tables.sum())])])
+
+    return _moving(rows).groupBy("bucket").cogroup(notes.groupBy("bucket")).applyInArrow(run, _NOTE)
+
+
+def _sums(notes: DataFrame, n: int) -> list[float]:
+    got = notes.filter("stats is not null").agg(*[F.sum(F.col("stats")[i]) for i in range(n)]).first()
+    return [x or 0.0 for x in got]
 
 
 def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_fold: int = 1, sweeps: int = 3, burn_in: int = 1) -> DataFrame:
@@ -356,37 +457,53 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_fol
     docs = df.select(df[id_col].cast("long").alias("doc_id"), (fold(df[id_col]) == out_fold).alias("held_out"), df[text_col].alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(shuffle_partitions(spark), math.ceil(total / BUCKET_BYTES))
-    shape = "bucket long, parts array<long>, " + ", ".join(f"{f} binary" for f in _FIELDS)
-    gathered = _deal(docs, buckets).groupBy("bucket").applyInArrow(_gather, f"{shape}, people binary")
+    shape = "bucket long, parts array<long>, " + ", ".join(f"{f} binary" for f in (*_FIELDS, "keys", "cuts"))
+    gathered = _deal(docs, buckets).groupBy("bucket").applyInArrow(lambda t: _gather(t, buckets), f"{shape}, people binary")
     gathered = stored(gathered, "lm-buckets")
     rows = gathered.filter("people is null").drop("people")
-    states = [_share(rows, [])]  # what restaurants share before a sweep, and after the last
-    for _ in range(sweeps):
-        states.append(_share(rows, list(states)))
-    held = spark.sparkContext.broadcast(states)
-
-    def run(batches):
-        for b in batches:
-            for row in b.to_pylist():
-                seat, p = Seating(row), 0.0
-                for turn, (before, after) in enumerate(zip(held.value, held.value[1:], strict=False)):
-                    seat.sweep(before, turn)
-                    if turn >= burn_in:  # seats and sums of one sweep: probabilities add up to 1
-                        p = p + seat.predict(after)
-                p = np.log10(p / (sweeps - burn_in))
-                base = np.log10(seat.train + 0.5)[seat.word]
-                known = (seat.train > 0)[seat.word]
-                pair = np.repeat(np.arange(len(p)), seat.posts)
-                key = seat.part.astype(np.int64) * (_HELD_OUT) + (seat.doc & (_HELD_OUT - 1))
-                who, at = np.unique(key, return_inverse=True)
-                sums = [np.bincount(at, x[pair], len(who)) for x in (p, base, known)]
-                cuts = np.searchsorted(who // _HELD_OUT, np.arange(len(row["parts"]) + 1))
-                for k, part in enumerate(row["parts"]):
-                    lo, hi = cuts[k], cuts[k + 1]
-                    vals = [(who[lo:hi] % _HELD_OUT).astype("<u2"), sums[0][lo:hi], sums[1][lo:hi], sums[2][lo:hi].astype("<u4")]
-                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), *(pa.array([_pack(v)], pa.binary()) for v in vals)], ["part", "at", "score", "base", "known"])
-
-    partial = rows.mapInArrow(run, "part long, at binary, score binary, base binary, known binary")
+    told = stored(_begin(rows), "lm-contexts-told")
+    known, tokens, rc, rt, n1, n2, r1, r2 = _sums(told, 8)
+    # discounts from the numbers of dishes seen once and twice
+    d, rd = (min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5 for a, b in ((n1, n2), (r1, r2)))
+    none = np.zeros(0)
+    states = [Shared(none, none, int(known), int(tokens), rc, rt, d, rd)]  # before a sweep, and after the last
+    shards = stored(told.filter("shard >= 0").groupBy("shard").applyInArrow(_meet, "shard int, buckets array<long>, sizes array<long>, at binary, customers binary, tables binary"), "lm-contexts")
+    first = stored(_first_notes(shards), "lm-notes")
+    notes, samples = first.filter(F.col("kind") == _TOTAL), first.filter(F.col("kind") == _CUSTOMERS)
+    for turn in range(sweeps):
+        seats = stored(_sweep(rows, notes, states[-1], turn), "lm-seats")
+        rc, rt = _sums(seats, 2)
+        states.append(replace(states[0], root_customers=rc, root_tables=rt))
+        notes = stored(_totals(seats, shards), "lm-notes").unionAll(seats.filter(F.col("kind").isin(_TABLES, _ROOT)))
+        if turn >= burn_in:
+            samples = samples.unionAll(notes.withColumn("kind", F.col("kind") + 10 * (turn + 1)))
+    shared = states
+
+    def predict(key, own, told):
+        row, got = own.to_pylist()[0], _by_kind(told)
+        seat, p, out = Seating(row), 0.0, []
+        cust = _joined(got[_CUSTOMERS])
+        for turn in range(burn_in, sweeps):  # seats and sums of one sweep: probabilities add up to 1
+            kind = 10 * (turn + 1)
+            seat.tables[seat.many], seat.root_tables = (_unpack(got[kind + k][0], "<u4").astype(np.int64) for k in (_TABLES, _ROOT))
+            p = p + seat.predict(replace(shared[turn + 1], customers=cust, tables=_joined(got[kind + _TOTAL])))
+        p = np.log10(p / (sweeps - burn_in))
+        base = np.log10(seat.train + 0.5)[seat.word]
+        known = (seat.train > 0)[seat.word]
+        pair = np.repeat(np.arange(len(p)), seat.posts)
+        key = seat.part.astype(np.int64) * (_HELD_OUT) + (seat.doc & (_HELD_OUT - 1))
+        who, at = np.unique(key, return_inverse=True)
+        sums = [np.bincount(at, x[pair], len(who)) for x in (p, base, known)]
+        cuts = np.searchsorted(who // _HELD_OUT, np.arange(len(row["parts"]) + 1))
+        for k, part in enumerate(row["parts"]):
+            lo, hi = cuts[k], cuts[k + 1]
+            vals = [(who[lo:hi] % _HELD_OUT).astype("<u2"), sums[0][lo:hi], sums[1][lo:hi], sums[2][lo:hi].astype("<u4")]
+            out.append([part, *map(_pack, vals)])
+        types = (pa.int64(), *[pa.binary()] * 4)
+        return pa.table([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["part", "at", "score", "base", "known"])
+
+    needed = rows.drop("keys", "cuts")
+    partial = needed.groupBy("bucket").cogroup(samples.groupBy("bucket")).applyInArrow(predict, "part long, at binary, score binary, base binary, known binary")
     people = gathered.filter("people is not null").select(F.col("parts")[0].alias("part"), "people")
     s = states[0]
     base_norm = math.log10(s.tokens + 0.5 * (s.known + 1))

@@ -2,8 +2,10 @@
 
 import math
 import re
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -136,10 +138,10 @@ def test_predictions_add_up_to_one():
         rows.append({f: hpyp._pack(np.array(x).astype(t)) for f, t, x in zip(hpyp._FIELDS, hpyp._TYPES, columns, strict=True)} | {"bucket": k})
 
     def shared(seats):
-        cust, tabs = np.zeros(hpyp.CONTEXTS), np.zeros(hpyp.CONTEXTS)
+        cust, tabs = np.zeros(contexts), np.zeros(contexts)
         for s in seats:
-            cust += np.bincount(s.ctx, s.count, hpyp.CONTEXTS)
-            tabs += np.bincount(s.ctx, s.tables, hpyp.CONTEXTS)
+            cust += np.bincount(s.ctx, s.count, contexts)
+            tabs += np.bincount(s.ctx, s.tables, contexts)
         known = sum(len(s.words) for s in seats)
         root = sum(s.root().sum() for s in seats)
         tables = sum((s.root_tables if s.root_tables is not None else np.minimum(s.root(), 1)).sum() for s in seats)
@@ -161,6 +163,56 @@ def test_predictions_add_up_to_one():
         assert np.allclose(total + back * (root + unknown), 1, atol=1e-9)
 
 
+def test_contexts_are_whole_and_sums_meet_across_buckets(spark):
+    """The same seatings made in one place, with the totals of every context in one array."""
+    rng = np.random.default_rng(11)
+    vocab = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(vocab, 40, p=(q := 1 / np.arange(1, 301)) / q.sum())) for _ in range(120)] + ["", None, "unseen words only here"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = hpyp.score(df).toPandas().set_index("doc_id")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    row, tok, ctx, _ = hpyp._tokens(pa.array(texts, pa.string()))
+    out = np.array([zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(texts))])
+    contexts, ctx_at = np.unique(ctx, return_inverse=True)
+    seats, pair_of = [], {}
+    for k in range(buckets):
+        seen = sorted({(int(t), int(c)) for t, c in zip(tok, ctx, strict=True) if t % np.uint64(buckets) == k})
+        if not seen:
+            continue
+        for i, x in enumerate(seen):
+            pair_of[x] = (len(seats), i)
+        count = np.zeros(len(seen), int)
+        for t, c, r in zip(tok.tolist(), ctx.tolist(), row.tolist(), strict=True):
+            if (t, c) in pair_of and pair_of[t, c][0] == len(seats) and not out[r]:
+                count[pair_of[t, c][1]] += 1
+        own = np.array([t for t, _ in seen], np.uint64)
+        at = np.searchsorted(contexts, np.array([c for _, c in seen], np.uint64))
+        columns = (np.unique(own), np.unique(own, return_counts=True)[1], at, count, np.ones(len(seen)), [], [])
+        seats.append(hpyp.Seating({f: hpyp._pack(np.array(x).astype(t)) for f, t, x in zip(hpyp._FIELDS, hpyp._TYPES, columns, strict=True)} | {"bucket": k}))
+
+    def shared(d, rd):
+        cust, tabs = (sum(np.bincount(s.ctx, x(s), len(contexts)) for s in seats) for x in (lambda s: s.count, lambda s: s.tables))
+        root = sum(s.root().sum() for s in seats)
+        tables = sum((np.minimum(s.root(), 1) if s.root_tables is None else s.root_tables).sum() for s in seats)
+        return hpyp.Shared(cust, tabs, sum(int((s.train > 0).sum()) for s in seats), int(sum(s.count.sum() for s in seats)), root, tables, d, rd)
+
+    once = [sum(int((x(s) == n).sum()) for s in seats) for x in (lambda s: s.count, lambda s: s.root()) for n in (1, 2)]
+    d, rd = (min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5 for a, b in (once[:2], once[2:]))
+    state, p = shared(d, rd), [0.0] * len(seats)
+    for turn in range(3):
+        for s in seats:
+            s.sweep(state, turn)
+        state = shared(d, rd)
+        if turn:
+            p = [a + s.predict(state) / 2 for a, s in zip(p, seats, strict=True)]
+    want = np.zeros(len(texts))
+    for t, c, r in zip(tok.tolist(), ctx.tolist(), row.tolist(), strict=True):
+        b, i = pair_of[t, c]
+        want[r] += math.log10(p[b][i])
+    assert len(seats) > 1 and np.allclose(got.score.loc[range(len(texts))], want, rtol=0, atol=1e-9)
+    assert got.held_out.loc[range(len(texts))].tolist() == out.tolist()
+
+
 # ------------------------------------------------------------------ surrogates
 def _replaced(spark, *texts, key=None):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")

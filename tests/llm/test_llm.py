@@ -219,7 +219,7 @@ def test_sweep_reseats_every_customer_of_large_dishes():
     columns = ([7], [n], np.arange(n), np.full(n, c), np.ones(n), [], [])
     row = {f: hpyp._pack(np.array(x).astype(k)) for f, k, x in zip(hpyp._FIELDS, hpyp._TYPES, columns, strict=True)}
     seat = hpyp.Seating(row | {"bucket": 0})
-    shared = hpyp.Shared(np.full(hpyp.CONTEXTS, c), np.ones(hpyp.CONTEXTS), 1, n * c, 1_000_000, 1, 0.8, 0.5)
+    shared = hpyp.Shared(np.full(n, c), np.ones(n), 1, n * c, 1_000_000, 1, 0.8, 0.5)
     seat.sweep(shared, 0)
     start = hpyp._first_tables(np.array([c]), 0.8)[0]
     assert seat.tables.mean() < start / 50 and len(set(seat.tables.tolist())) > 1  # 1 + w / discount on average
