@@ -190,10 +190,10 @@ def _log_stirling(discount: float) -> np.ndarray:
     return out
 
 
-def _root_of(f, low: np.ndarray) -> np.ndarray:
+def _root_of(f, low: np.ndarray, steps: int = 60) -> np.ndarray:
     """Where the falling ``f`` of log u passes 0 between ``low`` and 0 (an end if it doesn't)."""
     high = np.zeros_like(low)
-    for _ in range(60):
+    for _ in range(steps):
         mid = (low + high) / 2
         up = f(mid) > 0
         low, high = np.where(up, mid, low), np.where(up, high, mid)
@@ -210,29 +210,35 @@ def _log_tables(c: int, t: np.ndarray, discount: float) -> np.ndarray:
         return np.log(t * d / (c + 1)) + (d - 1) * x - np.log(-np.expm1(d * x)) + np.log(-np.expm1(x))
 
     with np.errstate(divide="ignore", invalid="ignore"):
-        m = np.exp(_root_of(slope, np.full(len(t), -math.log(c + 1.0))))
+        m = np.exp(_root_of(slope, np.full(len(t), -math.log(c + 1.0)), 30))  # any path near the saddle will do
     m = np.minimum(m, 1 - 1e-9)
     pole = 1 - m**d
     first = (c + 1) / (1 - m) - t * d * m ** (d - 1) / pole
     second = (c + 1) / (1 - m) ** 2 + t * (d * (1 - d) * m ** (d - 2) / pole - (d * m ** (d - 1) / pole) ** 2)
     wide = 1 / np.sqrt(2 * np.maximum(first * m + 2 * second * m * m, 1e-300))
     top = t * np.log(pole) - (c + 1) * np.log1p(-m)
-    h, total = 0.1, np.zeros(len(t))
-    for k in range(121):
+    h, total = 0.2 if c < 20_000 else 0.1, np.zeros(len(t))  # the branch comes nearer as c grows
+    for k in range(int(12 / h) + 1):
         a = 1 + 1j * wide * (k * h)
         u = m * a * a
-        f = np.exp(t * np.log(1 - u**d) - (c + 1) * np.log(1 - u) - top)
-        total += (0.5 if k == 0 else 1.0) * (a * f).real
+        f = a * np.exp(t * np.log(1 - np.exp(d * np.log(u))) - (c + 1) * np.log(1 - u) - top)
+        total += (0.5 if k == 0 else 1.0) * f.real
+        if np.abs(f).max() < 1e-18:  # it only falls along the path
+            break
     out = top + np.log(np.maximum(total * 2 * h * wide * m / np.pi, 1e-300))
     return np.where(t == c, c * math.log(d), out)
 
 
-def _draw_many(c: int, w: float, discount: float, u: float) -> int:
+def _mean_tables(c: np.ndarray, w: np.ndarray, d: float) -> np.ndarray:
+    """About the mean number of tables of large dishes."""
+    x = _root_of(lambda x: np.log(w / c) + np.log(-np.expm1(x)) + (d - 1) * x, np.full(len(c), -700.0))
+    return -w * np.expm1(d * x) / d
+
+
+def _draw_many(c: int, w: float, mean: float, discount: float, u: float) -> int:
     """Tables of a dish of more than ``EXACT`` customers; the numbers that are left out lie
     twelve deviations off."""
     d = discount
-    x = _root_of(lambda x: np.log(w / c) + np.log(-np.expm1(x)) + (d - 1) * x, np.array([-700.0]))[0]
-    mean = -w * math.expm1(d * x) / d
     far = 12 * math.sqrt(mean) + 40
     t = np.arange(max(1, int(mean - far)), min(c, int(mean + far)) + 1)
     p = t * math.log(w / d) - np.cumsum(np.log(t)) + _log_tables(c, t, d)
@@ -245,8 +251,9 @@ def table_counts(c: np.ndarray, new_weight: np.ndarray, discount: float, rng) ->
     a new table has the weight ``new_weight`` and a table of n the weight n - discount: t has the
     odds ``new_weight``**t times the generalised Stirling number of (c, t)."""
     out, u, logs = np.ones(len(c), np.int64), rng.random(len(c)), _log_stirling(discount)
-    for i in np.flatnonzero(c > EXACT).tolist():
-        out[i] = _draw_many(int(c[i]), float(new_weight[i]), discount, float(u[i]))
+    large = np.flatnonzero(c > EXACT)
+    for i, mean in zip(large.tolist(), _mean_tables(c[large], new_weight[large], discount).tolist(), strict=True):
+        out[i] = _draw_many(int(c[i]), float(new_weight[i]), mean, discount, float(u[i]))
     few = np.flatnonzero((c > 1) & (c <= EXACT))
     upto = np.cumsum(c[few])
     for part in np.split(few, np.unique(np.searchsorted(upto, np.arange(DRAWN, upto[-1], DRAWN)))) if len(few) else []:
