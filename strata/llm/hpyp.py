@@ -137,9 +137,15 @@ def _gather(table: pa.Table, shards: int) -> pa.Table:
         c.append(np.repeat(got[2], got[3]))
         d.append(got[4])
         p.append(np.full(len(got[4]), k, "<u4"))
-    w, c, d, p = (np.concatenate(x) for x in (w, c, d, p))
+    w = np.concatenate(w)
+    c = np.concatenate(c)
+    p = np.concatenate(p)
     order = np.lexsort((p, c, w))
-    w, c, d, p = w[order], c[order], d[order], p[order]
+    w = w[order]
+    c = c[order]
+    p = p[order]
+    d = np.concatenate(d)[order]
+    del order, got
     new_word = np.append(True, w[1:] != w[:-1])
     new_pair = new_word | np.append(True, c[1:] != c[:-1])
     first = np.flatnonzero(new_pair)
@@ -495,17 +501,17 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_fol
             seat.tables[seat.many], seat.root_tables = (_unpack(got[kind + k][0], "<u4").astype(np.int64) for k in (_TABLES, _ROOT))
             p = p + seat.predict(replace(shared[turn + 1], customers=cust, tables=_joined(got[kind + _TOTAL])))
         p = np.log10(p / (sweeps - burn_in))
-        base = np.log10(seat.train + 0.5)[seat.word]
-        known = (seat.train > 0)[seat.word]
-        pair = np.repeat(np.arange(len(p)), seat.posts)
-        key = seat.part.astype(np.int64) * (_HELD_OUT) + (seat.doc & (_HELD_OUT - 1))
-        who, at = np.unique(key, return_inverse=True)
-        sums = [np.bincount(at, x[pair], len(who)) for x in (p, base, known)]
-        cuts = np.searchsorted(who // _HELD_OUT, np.arange(len(row["parts"]) + 1))
-        for k, part in enumerate(row["parts"]):
-            lo, hi = cuts[k], cuts[k + 1]
-            vals = [(who[lo:hi] % _HELD_OUT).astype("<u2"), sums[0][lo:hi], sums[1][lo:hi], sums[2][lo:hi].astype("<u4")]
-            out.append([part, *map(_pack, vals)])
+        base, known = np.log10(seat.train + 0.5), (seat.train > 0).astype(float)  # of words
+        pair = np.repeat(np.arange(len(p), dtype="<u4"), seat.posts)
+        parts = len(row["parts"])
+        by_part = np.argsort(seat.part.astype("<u2") if parts <= 1 << 16 else seat.part, kind="stable")
+        ends = np.cumsum(np.bincount(seat.part, minlength=parts)).tolist()
+        for part, lo, hi in zip(row["parts"], [0, *ends], ends, strict=False):
+            doc, of = seat.doc[by_part[lo:hi]] & (_HELD_OUT - 1), pair[by_part[lo:hi]]
+            word = seat.word[of]
+            who = np.flatnonzero(np.bincount(doc))
+            sums = [np.bincount(doc, x)[who] for x in (p[of], base[word], known[word])]
+            out.append([part, *map(_pack, (who.astype("<u2"), *sums[:2], sums[2].astype("<u4")))])
         types = (pa.int64(), *[pa.binary()] * 4)
         return pa.table([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["part", "at", "score", "base", "known"])
 
