@@ -11,6 +11,7 @@ logistic fit to the labels.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -299,7 +300,8 @@ def train(
 ) -> Model | None:
     """A model from at most ``per_class`` documents of each label, outside the held-out fold,
     of at most ``most_chars`` characters each (longer texts are scored, not learned from).
-    A document with both labels counts as toxic. None if either label is missing."""
+    A document with both labels counts as toxic. None if either label is missing. The sample is
+    learned from in one task, of these bounds; only the model comes to the driver."""
     known = labels.select(labels[id_col].alias("doc_id"), labels[label_col].alias("y")).filter("y is not null and doc_id is not null")
     known = known.filter(fold("doc_id") != 0).groupBy("doc_id").agg(F.max("y").cast("int").alias("y"))
     n = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
@@ -308,14 +310,23 @@ def train(
     ids = sample(known, "y", per_class, "doc_id")
     picked = df.sparkSession.createDataFrame([(int(i), int(y)) for i, y in zip(ids.doc_id, ids.y, strict=True)], "doc_id long, y int")
     texts = df.select(df[id_col].alias("doc_id"), df[text_col].alias("text")).filter(F.length("text") <= most_chars)
-    got = texts.join(F.broadcast(picked), "doc_id").toPandas()  # 2 * per_class rows at most
-    got = got.drop_duplicates(["doc_id", "text"]).sort_values(["doc_id", "text"])
-    y = got["y"].to_numpy()
-    if not (y == 0).any() or not (y == 1).any():
-        return None
-    share = {c: n[c] / max(1, (y == c).sum()) for c in (0, 1)}
-    scale = len(y) / sum(n[c] for c in (0, 1))
-    return fit(list(got["text"]), y, np.where(y == 1, share[1], share[0]) * scale)
+    got = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y").distinct()  # 2 * per_class documents at most
+
+    def learn(batches):
+        batches = list(batches)
+        if not batches:
+            return
+        rows = pa.Table.from_batches(batches).sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        y = rows.column("y").to_numpy()
+        if (y == 0).any() and (y == 1).any():
+            share = {c: n[c] / (y == c).sum() for c in (0, 1)}
+            scale = len(y) / sum(n[c] for c in (0, 1))
+            model = fit(rows.column("text").to_pylist(), y, np.where(y == 1, share[1], share[0]) * scale)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    on_workers(df.sparkSession)
+    made = got.withColumn("doc_id", F.col("doc_id").cast("long")).repartition(1).mapInArrow(learn, "model binary").first()
+    return pickle.loads(made["model"]) if made else None
 
 
 # ------------------------------------------------------------------ scoring
