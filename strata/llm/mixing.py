@@ -58,9 +58,10 @@ def find_exponent(
 ) -> float:
     """The largest exponent in [0, 1] whose weights reach ``target_entropy`` (a fraction of
     the highest possible, log of the number of sources) while no source is repeated more than
-    ``max_repeats`` times; where the two conflict, the limit wins. Entropy falls and, at a budget
-    of at most the corpus, repetition falls as the exponent grows, so both bounds are bisected;
-    15 points a job make four bisections in one pass over the sources."""
+    ``max_repeats`` times; where the two conflict, the limit wins. Entropy and repetition fall as
+    the exponent grows, whatever the budget, so both bounds are bisected; 15 points a job make
+    four bisections in one pass over the sources. At an exponent of 1 every source is repeated
+    ``budget`` / corpus times, the least that can be; ``plan_mix`` refuses budgets beyond it."""
     n = sources.count()
     if n < 2:
         return 1.0
@@ -95,12 +96,16 @@ def plan_mix(
     seed: int = 17,
 ) -> Mix:
     """Weights of all sources and where their passes end. ``budget``: tokens (words) of the
-    mixture, by default as many as the corpus has."""
+    mixture, by default as many as the corpus has; one that no mixture can fill without
+    repeating some source more than ``max_repeats`` times is an error (ValueError). An empty
+    corpus fills none and gives no rows."""
     rows = stored(df.select(*[c.alias(k) for k, c in _columns(df, id_col, text_col, source_col, seed).items()]), "mix-rows")
     blocks = stored(rows.groupBy("source", "block").agg(F.sum("tokens").alias("tokens")), "mix-blocks")
     sources = stored(blocks.groupBy("source").agg(F.sum("tokens").alias("tokens")).filter("tokens > 0"), "mix-sources")
     total = sources.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     budget = total if budget is None else budget
+    if total and budget > max_repeats * total:
+        raise ValueError(f"a budget of {budget} tokens repeats a corpus of {total} more than {max_repeats:g} times")
     total = max(total, 1)
     a = find_exponent(sources, float(budget), target_entropy, max_repeats)
     z = sources.agg(F.sum(F.pow(F.col("tokens") / F.lit(float(total)), F.lit(a)))).first()[0] or 1.0

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from strata.llm import hpyp, imatch, packing, pii, pq, setjoin, stages
+from strata.llm import hpyp, imatch, mixing, packing, pii, pq, setjoin, stages, toxicity
 from strata.llm.common import table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -326,3 +326,32 @@ def test_imatch_next_rows_over_many_ranges(spark):
     got = {(r.doc_id, r.text): r.next_text for r in imatch.with_next(d, lambda t: imatch.fingerprint(t, [[]]), range_bytes=8).collect()}
     order = [(None, "first of all"), (1, ""), (3, "a b"), (3, "c d e"), (5, "c d e"), (7, "x " * 50), (9, "")]
     assert got == {k: n[1] for k, n in zip(order, order[1:] + order[:1], strict=True)}
+
+
+# ------------------------------------------------------------------ budgets and training
+def test_mixing_refuses_a_budget_beyond_the_limit(spark):
+    df = spark.createDataFrame([(i, "a b c d", "x" if i % 4 else "y") for i in range(40)], "doc_id long, text string, source string")
+    with pytest.raises(ValueError, match="more than 3 times"):
+        mixing.mix(df, budget=481, max_repeats=3.0)
+    full = mixing.mix(df, budget=480, target_entropy=None, max_repeats=3.0).groupBy("doc_id").count().collect()
+    assert [r["count"] for r in full] == [3] * 40  # three times the corpus: every document thrice
+    assert mixing.mix(df.limit(0), budget=10).count() == 0
+
+
+def test_toxicity_learns_the_same_from_any_layout(spark):
+    words = np.random.default_rng(5).integers(0, 300, (200, 30))
+    rows = [(i, " ".join([*(f"w{k}" for k in words[i]), "vile" if i % 2 else "mild"]), "x") for i in range(200)]
+    docs = spark.createDataFrame([*rows, *rows[:9], (None, "vile", "x"), (900, None, "x"), (901, "", "x")], "doc_id long, text string, y string")
+    lab = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(900, 1), (901, 0), (3, 1), (None, 1), (4, None)], "doc_id long, toxic int")
+    one, many = toxicity.train(docs.coalesce(1), lab), toxicity.train(docs.orderBy(docs.text.desc()).repartition(7), lab)
+    got, again = ({(r.doc_id, r.text): r.score for r in _scored(docs, m)} for m in (one, many))
+    assert got == again and len(got) == 203
+    wrong = [(i, t, s) for (i, t), s in got.items() if i is not None and i < 200 and (s >= 0.5) != (i % 2 == 1)]
+    assert not wrong
+    assert toxicity.train(docs, lab.filter("toxic = 1")) is None and toxicity.train(docs.limit(0), lab) is None
+    assert toxicity.train(docs.filter("doc_id % 2 = 0"), lab) is None
+
+
+def _scored(docs, model):
+    out = toxicity.score(docs, model).select("doc_id", "score").distinct()
+    return out.join(docs.select("doc_id", "text").distinct(), out.doc_id.eqNullSafe(docs.doc_id)).select(out.doc_id, "text", "score").collect()
