@@ -57,10 +57,28 @@ def plan_text(df: DataFrame, formats: Sequence[str], task_bytes: int = TEXT_TASK
     return {f: TextPlan(r["rows"], r[f], tasks[f], max(1, -(-r["rows"] // tasks[f]))) for f in formats}
 
 
-def write_text(df: DataFrame, path: str, fmt: str, plan: TextPlan, mode: str = "overwrite") -> str:
-    """Write CSV or JSON by a plan: the rows are dealt evenly over its tasks (AQE would join
-    partitions by their compressed bytes), and no file has more than its rows."""
-    return write_table(df, path, fmt, plan.tasks, mode, max_records_per_file=plan.rows_per_file)
+def dealt(written: DataFrame, partitions: int) -> DataFrame:
+    """Rows of a Parquet table, as read, dealt evenly over ``partitions``: each file's rows in
+    turn by their place in it. The place is the same when a task runs again, so unlike a
+    round-robin ``repartition`` it needs no sort of the rows first, which spills once a
+    task's rows outgrow its memory."""
+    if partitions == 1:
+        return written.repartition(1)
+    read = written.metadataColumn("_metadata")
+    place = read["row_index"] + F.crc32(read["file_name"].cast("binary"))
+    # a column of its own: given as an expression, file name and place would be shuffled too
+    part = "_part"
+    while part in {c.lower() for c in written.columns}:
+        part += "_"
+    to = F.pmod(place, F.lit(partitions)).cast("int")
+    return written.withColumn(part, to).repartitionById(partitions, part).drop(part)
+
+
+def write_text(written: DataFrame, path: str, fmt: str, plan: TextPlan, mode: str = "overwrite") -> str:
+    """Write a Parquet table, as read, as CSV or JSON by a plan: the rows are dealt evenly over
+    its tasks (AQE would join partitions by their compressed bytes), and no file has more than
+    its rows."""
+    return write_table(dealt(written, plan.tasks), path, fmt, mode=mode, max_records_per_file=plan.rows_per_file)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partitions: int | None = None,
@@ -99,7 +117,7 @@ def write_gold(spark: SparkSession, df: DataFrame, root: str, formats: Sequence[
 
     def text(fmt):
         if partitions:
-            return write_table(written, f"{root}/{fmt}", fmt, partitions)
+            return write_table(dealt(written, partitions), f"{root}/{fmt}", fmt)
         return write_text(written, f"{root}/{fmt}", fmt, plans[fmt])
 
     # The other formats only read the written Parquet and are independent: submit them as

@@ -186,6 +186,31 @@ def test_no_text_file_is_larger_than_planned(spark, tmp_path):
     assert len(list((tmp_path / "parquet").glob("part-*"))) == 1
 
 
+def test_text_rows_are_dealt_without_a_sort(spark, tmp_path):
+    df = spark.range(1000).select(F.when(F.col("id") % 9 > 0, F.lit("x")).alias("a"), F.col("id").cast("string").alias("_part"))
+    df.repartition(3).write.parquet(str(tmp_path / "p"))
+    written = spark.read.parquet(str(tmp_path / "p"))
+    out = W.dealt(written, 7)
+    plan = out._jdf.queryExecution().toString()
+    assert "RoundRobin" not in plan and "Sort" not in plan and "_extract_file_name" not in plan
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert out.columns == df.columns and len(sizes) == 7 and max(sizes) - min(sizes) <= 3
+    assert rows(out) == rows(df)
+    again = spark.read.parquet(str(tmp_path / "p"))
+    assert rows(out.withColumn("at", F.spark_partition_id())) == rows(W.dealt(again, 7).withColumn("at", F.spark_partition_id()))
+
+
+def test_text_sinks_sort_no_rows(spark, tmp_path, monkeypatch):
+    seen = []
+    keep = W.write_table
+    monkeypatch.setattr(W, "write_table", lambda df, path, fmt="parquet", partitions=None, *a, **k: (
+        seen.append((fmt, partitions, df._jdf.queryExecution().toString())), keep(df, path, fmt, partitions, *a, **k))[1])
+    df = spark.range(20_000).select(*[F.lit("same text again and again").alias(c) for c in "abcdefgh"]).coalesce(1)
+    W.write_gold(spark, df, str(tmp_path), task_bytes=1 << 20)
+    text = [(p, plan) for fmt, p, plan in seen if fmt != "parquet"]
+    assert len(text) == 2 and all(p is None and "RoundRobin" not in plan for p, plan in text)
+
+
 def test_row_bytes_do_not_depend_on_files(spark, gold, tmp_path):
     few, many = (W.write_gold(spark, gold, str(tmp_path / str(n)), ("csv", "json"), partitions=n) for n in (1, 7))
     assert rows(W.row_bytes(spark, few)) == rows(W.row_bytes(spark, many))
