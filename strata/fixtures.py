@@ -166,5 +166,5 @@ def materialize(spark: SparkSession, sf_dir: str):
         root = scratch_path(spark, "fixture")
         raw = f"{root}/raw"
         raw_lines(spark, sf_dir).write.mode("overwrite").option("lineSep", "\n").text(raw)
-        _MATERIALIZED[key] = (raw, medallion(spark, raw, root))
+        _MATERIALIZED[key] = (raw, medallion(spark, raw, root, silver_compression="gzip"))
     return _MATERIALIZED[key]

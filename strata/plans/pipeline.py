@@ -36,11 +36,12 @@ SILVER_ROWS_PER_FILE = 1_000_000
 
 
 def run_silver(spark: SparkSession, bronze_path: str, out: str,
-               rows_per_file: int = SILVER_ROWS_PER_FILE, fmt: str = "csv") -> str:
+               rows_per_file: int = SILVER_ROWS_PER_FILE, fmt: str = "csv", compression: str | None = None) -> str:
     """Flatten Bronze into Silver. ``csv`` is the reference layout; ``parquet`` keeps the
-    same columns and values, splits freely and lets later scans prune columns."""
+    same columns and values, splits freely and lets later scans prune columns. A ``compression``
+    costs the CSV no parallel reads: its files are read whole anyway."""
     rows = flatten(spark.read.parquet(bronze_path))
-    return write_table(rows, out, fmt, max_records_per_file=rows_per_file if fmt == "csv" else None)
+    return write_table(rows, out, fmt, max_records_per_file=rows_per_file if fmt == "csv" else None, compression=compression)
 
 
 def read_silver(spark: SparkSession, silver_path: str, fmt: str = "csv") -> DataFrame:
@@ -88,11 +89,12 @@ def read_gold_by_approach(spark: SparkSession, root: str, fmt: str = "parquet")
 
 
 def medallion(spark: SparkSession, raw_path: str, root: str, formats=("parquet", "csv", "json"),
-              partitions: int | None = None, silver_format: str = "csv", **rules) -> Layers:
+              partitions: int | None = None, silver_format: str = "csv", silver_compression: str | None = None,
+              **rules) -> Layers:
     """Run all three layers under ``root`` (a shared folder on a cluster)."""
     root = root.rstrip("/")
     b = run_bronze(spark, raw_path, f"{root}/bronze")
-    s = run_silver(spark, b, f"{root}/silver", fmt=silver_format)
+    s = run_silver(spark, b, f"{root}/silver", fmt=silver_format, compression=silver_compression)
     g = run_gold(spark, s, f"{root}/gold", formats, partitions, silver_format=silver_format, **rules)
     return Layers(b, s, g, silver_format)
 

@@ -82,15 +82,19 @@ def write_text(written: DataFrame, path: str, fmt: str, plan: TextPlan, mode: st
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partitions: int | None = None,
-                mode: str = "overwrite", max_records_per_file: int | None = None) -> str:
+                mode: str = "overwrite", max_records_per_file: int | None = None,
+                compression: str | None = None) -> str:
     """Write one table. ``partitions`` fixes the number of output files (a round-robin
     repartition); by default the upstream partitioning is kept. ``max_records_per_file``
-    bounds file size, which keeps later non-splittable reads (multi-line CSV) parallel."""
+    bounds file size, which keeps later non-splittable reads (multi-line CSV) parallel.
+    ``compression`` is the codec of the files; by default the format's own."""
     if partitions:
         df = df.repartition(partitions)
     w = df.write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    if compression:
+        w = w.option("compression", compression)
     if fmt == "parquet":
         w.parquet(path)
     elif fmt == "csv":

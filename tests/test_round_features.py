@@ -16,8 +16,9 @@ from strata.operators import clean as C
 from strata.operators import serve as S
 from strata.plans import compare, pipeline, rdd_face, sql_face
 from strata.schemas import MERGED, PAIR, SURVEY_COLUMNS
+from strata.session import scratch_path
 from strata.sinks import writers as W
-from strata.sources.files import read_gold
+from strata.sources.files import read_gold, read_silver_csv
 from strata.sources.jsonl import bronze, is_single_json
 
 
@@ -211,6 +212,18 @@ def test_text_sinks_sort_no_rows(spark, tmp_path, monkeypatch):
     assert len(text) == 2 and all(p is None and "RoundRobin" not in plan for p, plan in text)
 
 
+def _names(spark, path):
+    return [f.rsplit("/", 1)[1] for f in spark.read.text(path).inputFiles()]
+
+
+def test_scratch_silver_is_compressed_and_whole(spark):
+    _, layers = fixtures.materialize(spark, SF_SMALL)
+    plain = pipeline.run_silver(spark, layers.bronze, scratch_path(spark, "silver-plain"))
+    assert all(n.endswith(".csv.gz") for n in _names(spark, layers.silver)) and all(n.endswith(".csv") for n in _names(spark, plain))
+    got, want = read_silver_csv(spark, layers.silver), read_silver_csv(spark, plain)
+    assert want.count() > 0 and rows(got) == rows(want)
+
+
 def test_row_bytes_do_not_depend_on_files(spark, gold, tmp_path):
     few, many = (W.write_gold(spark, gold, str(tmp_path / str(n)), ("csv", "json"), partitions=n) for n in (1, 7))
     assert rows(W.row_bytes(spark, few)) == rows(W.row_bytes(spark, many))
