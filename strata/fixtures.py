@@ -152,6 +152,10 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select(line.alias("value"))
 
 
+# Raw lines and Silver are scratch here, and the widest things a query writes: both are
+# compressed. Gzip files don't split, so raw files are bounded (about 11 MB of text).
+RAW_LINES_PER_FILE = 25_000
+
 _MATERIALIZED: dict[tuple[str, str], tuple[str, object]] = {}
 
 
@@ -165,6 +169,7 @@ def materialize(spark: SparkSession, sf_dir: str):
     if key not in _MATERIALIZED:
         root = scratch_path(spark, "fixture")
         raw = f"{root}/raw"
-        raw_lines(spark, sf_dir).write.mode("overwrite").option("lineSep", "\n").text(raw)
+        w = raw_lines(spark, sf_dir).write.mode("overwrite").option("maxRecordsPerFile", str(RAW_LINES_PER_FILE))
+        w.option("lineSep", "\n").option("compression", "gzip").text(raw)
         _MATERIALIZED[key] = (raw, medallion(spark, raw, root, silver_compression="gzip"))
     return _MATERIALIZED[key]

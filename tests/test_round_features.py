@@ -19,7 +19,7 @@ from strata.schemas import MERGED, PAIR, SURVEY_COLUMNS
 from strata.session import scratch_path
 from strata.sinks import writers as W
 from strata.sources.files import read_gold, read_silver_csv
-from strata.sources.jsonl import bronze, is_single_json
+from strata.sources.jsonl import bronze, is_single_json, read_lines
 
 
 def plan(df, final=False):
@@ -224,6 +224,21 @@ def test_scratch_silver_is_compressed_and_whole(spark):
     assert want.count() > 0 and rows(got) == rows(want)
 
 
+def test_scratch_raw_is_compressed_and_whole(spark):
+    raw, _ = fixtures.materialize(spark, SF_SMALL)
+    assert all(n.endswith(".txt.gz") for n in _names(spark, raw))
+    assert rows(read_lines(spark, raw)) == rows(fixtures.raw_lines(spark, SF_SMALL))
+
+
+def test_raw_files_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "RAW_LINES_PER_FILE", 400)
+    monkeypatch.setattr(fixtures, "_MATERIALIZED", {})
+    raw, layers = fixtures.materialize(spark, SF_SMALL)
+    per_file = read_lines(spark, raw).groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) >= 4 and max(r["count"] for r in per_file) <= 400
+    assert read_gold(spark, layers.gold["parquet"], "parquet").exceptAll(read_gold(spark, layers.gold["json"], "json")).isEmpty()
+
+
 def test_row_bytes_do_not_depend_on_files(spark, gold, tmp_path):
     few, many = (W.write_gold(spark, gold, str(tmp_path / str(n)), ("csv", "json"), partitions=n) for n in (1, 7))
     assert rows(W.row_bytes(spark, few)) == rows(W.row_bytes(spark, many))
