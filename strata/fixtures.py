@@ -153,8 +153,9 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Raw lines and Silver are scratch here, and the widest things a query writes: both are
-# compressed. Gzip files don't split, so raw files are bounded (about 11 MB of text).
-RAW_LINES_PER_FILE = 25_000
+# compressed. Gzip files don't split, so raw files are bounded, to about 4 MB of text: the least
+# that Spark would split off an uncompressed file, so later layers keep their number of files.
+RAW_LINES_PER_FILE = 10_000
 
 _MATERIALIZED: dict[tuple[str, str], tuple[str, object]] = {}
 
